@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinograph.llm import topn
+from kinograph.functions.terms import term_set, term_sql
+from kinograph.llm import cooccur, setjoin, termfreq, topn
+from kinograph.llm.records import one_per_record
 from kinograph.tables import table
 
 
@@ -44,9 +46,67 @@ select group_id, group_kind, item_id, cast(rnk as int) rnk from ranked where rnk
 """
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = cooccur.cooccurrence(table(spark, folder, "movies", "id", "keywords"), "id", "keywords", min_together=5)
+    return cooccur.above_chance(pairs, 4).select("term_a", "term_b")
+
+
+P4_SQL = f"""
+with mt as (
+  select distinct id, {term_sql("k")} t from (select id, unnest(keywords) k from movies where id is not null) where k is not null),
+m as (select t, count(*) c from mt where t <> '' group by t),
+ab as (
+  select a.t term_a, b.t term_b, count(*) n_ab from mt a join mt b on a.id = b.id and a.t < b.t
+  where a.t <> '' and b.t <> '' group by all having count(*) >= 5)
+select term_a, term_b from ab join m x on x.t = term_a join m y on y.t = term_b
+where n_ab * (select count(distinct id) from movies) >= 4 * x.c * y.c
+"""
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    movies = one_per_record(table(spark, folder, "movies", "id", "keywords", "genres"), "id", "keywords", "genres")
+    tagged = lambda array, mark: F.transform(term_set(F.col(array)), lambda x: F.concat(F.lit(mark), x))
+    sets = (
+        movies.select("record", tagged("keywords", "k ").alias("k"), tagged("genres", "g ").alias("g"))
+        .where(F.size("k") >= 5)
+        .select("record", F.concat("k", "g").alias("values"))
+    )
+    pairs, members = setjoin.similar_sets(sets, "record", "values", "0.7")
+    return setjoin.member_pairs(pairs, members).select(F.col("record_a").alias("movie_id_a"), F.col("record_b").alias("movie_id_b"))
+
+
+P5_SQL = f"""
+with mt as (
+  select distinct id, kind, {term_sql("x")} t from (
+    select id, 'k' kind, unnest(keywords) x from movies where id is not null
+    union all select id, 'g', unnest(genres) from movies where id is not null) where x is not null),
+t as (select * from mt where t <> ''),
+s as (select id, count(*) n from t group by id having count(*) filter (kind = 'k') >= 5),
+u as (select t.* from t join s using (id))
+select a.id movie_id_a, b.id movie_id_b
+from u a join u b on a.kind = b.kind and a.t = b.t and a.id < b.id
+join s x on x.id = a.id join s y on y.id = b.id
+group by a.id, b.id, x.n, y.n
+having 10 * count(*) >= 7 * (x.n + y.n - count(*))
+"""
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return termfreq.marked(table(spark, folder, "movies", "id", "keywords"), "id", "keywords").where("mark is not null").select("term", "mark")
+
+
+P6_SQL = f"""
+with mt as (
+  select distinct id, {term_sql("k")} t from (select id, unnest(keywords) k from movies where id is not null) where k is not null),
+m as (select t term, count(*) c from mt where t <> '' group by t),
+n as (select count(distinct id) n from movies)
+select term, case when 20 * c > n then 'common' else 'rare' end mark from m, n where 20 * c > n or c < 15
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found}
+    return {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL}
+    return {"p1_found": P1_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL, "p6_found": P6_SQL}
