@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinograph.functions.terms import term_set, term_sql
-from kinograph.llm import cooccur, setjoin, termfreq, topn
+from kinograph import session
+from kinograph.llm import cooccur, knn, setjoin, termfreq, topn
 from kinograph.llm.records import one_per_record
+from kinograph.llm.vectors import unit_vectors
 from kinograph.tables import table
 
 
@@ -104,8 +106,14 @@ select term, case when 20 * c > n then 'common' else 'rare' end mark from m, n w
 """
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = session.stage(unit_vectors(table(spark, folder, "movies", "id", "essence_vector"), "id", "essence_vector", 64), "vectors")
+    near = knn.nearest(vectors, 64, k=10, least=0.985)
+    return near.select(F.least("query", "neighbour").alias("movie_id_a"), F.greatest("query", "neighbour").alias("movie_id_b")).distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found}
+    return {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
