@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from kinograph.functions.terms import term_set, term_sql
 from kinograph import session
-from kinograph.llm import cooccur, knn, setjoin, termfreq, topn
+from kinograph.llm import birch, cooccur, knn, setjoin, termfreq, topn
 from kinograph.llm.records import one_per_record
-from kinograph.llm.vectors import unit_vectors
+from kinograph.llm.vectors import double_units, unit_vectors
 from kinograph.tables import table
 
 
@@ -48,6 +48,21 @@ select group_id, group_kind, item_id, cast(rnk as int) rnk from ranked where rnk
 """
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = session.stage(unit_vectors(table(spark, folder, "movies", "id", "essence_vector"), "id", "essence_vector", 64), "vectors")
+    found = birch.fit(vectors, 64)
+    return birch.references_in_blocks(
+        vectors, 64, found, double_units(table(spark, folder, "movie_theme_clusters", "id", "centroid"), "id", "centroid", 64), 0.9
+    ).select(F.col("record").alias("movie_id"), F.col("reference").alias("cluster_id"))
+
+
+def p3_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """The movies' own clusters: size, mean cosine and five most typical movies of each."""
+    vectors = session.stage(unit_vectors(table(spark, folder, "movies", "id", "essence_vector"), "id", "essence_vector", 64), "vectors")
+    assigned, _ = birch.similarity_clusters(vectors, 64)
+    return birch.describe(session.stage(assigned.select("record", "cluster", "cosine"), "assigned"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     pairs = cooccur.cooccurrence(table(spark, folder, "movies", "id", "keywords"), "id", "keywords", min_together=5)
     return cooccur.above_chance(pairs, 4).select("term_a", "term_b")
@@ -113,7 +128,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p3_found": p3_found, "p3_clusters": p3_clusters, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:

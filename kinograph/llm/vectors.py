@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from kinograph.functions.vectors import parse_literal, usable
 
 
+def double_units(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame:
+    """``unit_vectors`` as ``array<double>``."""
+    return _units(df, record, vector, dim)
+
+
 def unit_vectors(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame:
     """(record, vector as ``array<float>`` of length 1) for every record with a usable vector.
 
@@ -18,6 +23,10 @@ def unit_vectors(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame
     null records, and vectors that are null, of another length, all zero, not
     finite or not a valid list are left out.
     """
+    return _units(df, record, vector, dim).withColumn("vector", F.col("vector").cast("array<float>"))
+
+
+def _units(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame:
     v = F.col(f"`{vector}`")
     kind = dict(df.dtypes)[vector]
     v = parse_literal(v, dim) if kind == "string" else v.cast("array<double>")
@@ -31,7 +40,7 @@ def unit_vectors(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame
         .withColumn("top", F.array_max(F.transform("v", F.abs)))
         .withColumn("v", F.transform("v", lambda x: x / F.col("top")))
         .withColumn("length", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
-        .select("record", F.transform("v", lambda x: x / F.col("length")).cast("array<float>").alias("vector"))
+        .select("record", F.transform("v", lambda x: x / F.col("length")).alias("vector"))
     )
 
 
