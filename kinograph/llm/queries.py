@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kinograph.functions.terms import term_set, term_sql
 from kinograph import session
-from kinograph.llm import birch, cooccur, knn, setjoin, termfreq, topn
+from kinograph.llm import birch, contamination, cooccur, knn, packing, quality, setjoin, termfreq, topn
 from kinograph.llm.records import one_per_record
 from kinograph.llm.vectors import double_units, unit_vectors
 from kinograph.tables import table
@@ -127,8 +127,46 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return near.select(F.least("query", "neighbour").alias("movie_id_a"), F.greatest("query", "neighbour").alias("movie_id_b")).distinct()
 
 
+def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
+    profiles = table(spark, folder, "pack_capacities", "profile", "max_tokens").where("profile is not null and max_tokens > 0").orderBy("profile").limit(1000).collect()
+    return packing.pack(table(spark, folder, "documents", "doc_id", "text"), [(r.profile, r.max_tokens) for r in profiles])
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_spans(spark, folder).select("doc_id", "item_id").distinct()
+
+
+def p9_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Where the leaked passages lie."""
+    return contamination.leaked_spans(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "eval_items", "item_id", "text"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p10_statistics(spark, folder).where(F.col("form").isin("list", "table", "junk")).select("doc_id", "form")
+
+
+def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text statistics and shares of prose, list, table and junk."""
+    documents = table(spark, folder, "documents", "doc_id", "text")
+    model = quality.fit_model(documents, table(spark, folder, "doc_labels", "doc_id", "form"))
+    return quality.document_quality(documents, model)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p3_found": p3_found, "p3_clusters": p3_clusters, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
+    return {
+        "p1_found": p1_found,
+        "p3_found": p3_found,
+        "p3_clusters": p3_clusters,
+        "p4_found": p4_found,
+        "p5_found": p5_found,
+        "p6_found": p6_found,
+        "p7_found": p7_found,
+        "p8_containers": p8_containers,
+        "p9_found": p9_found,
+        "p9_spans": p9_spans,
+        "p10_found": p10_found,
+        "p10_statistics": p10_statistics,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
