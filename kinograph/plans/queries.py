@@ -2,23 +2,419 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinograph import session
-from kinograph.operators import nested
+from kinograph import schemas, session
+from kinograph.functions import text as text_functions
+from kinograph.functions.vectors import dist, dot, norm, normalize, parse_literal, to_literal, usable
+from kinograph.operators import catalog, clustering, credits, keywords, nested
+from kinograph.operators import rails as rail_operators
+from kinograph.sources import landed, sinks
+from kinograph.streaming import incremental
 from kinograph.tables import table
 
+DIM = 64
+#: The day that "now" stands for, so that a query gives the same rows on every day.
+AS_OF = "2024-08-31"
+AUDITED = ("darker_pick", "more_accessible", "hidden_gem")
+
+
+# ---- vectors and texts
+
+
+def movie_vectors(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    """(id, v, ...) of the movies with a usable vector, one row each."""
+    movies = catalog.movies_once(table(spark, folder, "movies", "id", "essence_vector", "updated_at", "vote_count", "popularity", *more))
+    return movies.withColumn("v", parse_literal(F.col("essence_vector"), DIM)).where(usable(F.col("v"))).select("id", "v", "vote_count", *more)
+
+
+def cluster_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """(id, v) of the clusters with a usable centroid."""
+    clusters = table(spark, folder, "movie_theme_clusters", "id", "centroid")
+    return clusters.withColumn("v", parse_literal(F.col("centroid"), DIM)).where(usable(F.col("v"))).select("id", "v")
+
+
+def vec_normalize(spark: SparkSession, folder: str) -> DataFrame:
+    scaled = table(spark, folder, "embeddings", "vec_id", "embedding").withColumn(
+        "v", F.transform(F.col("embedding").cast("array<double>"), lambda x: x * (1 + F.col("vec_id") % 7))
+    )
+    unit = scaled.withColumn("u", normalize(F.col("v")))
+    return unit.select("vec_id", F.round(norm(F.col("v")), 4).alias("before"), F.round(norm(F.col("u")), 6).alias("after"), F.round(F.col("u")[0], 6).alias("first"))
+
+
+def vec_pair_distance(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = table(spark, folder, "movie_cluster_assignments", "movie_id", "cluster_id").distinct()
+    movies = movie_vectors(spark, folder).select(F.col("id").alias("movie_id"), F.col("v").alias("a"))
+    clusters = cluster_vectors(spark, folder).select(F.col("id").alias("cluster_id"), F.col("v").alias("b"))
+    joined = pairs.join(movies, "movie_id").join(clusters, "cluster_id")
+    cosine = dot(F.col("a"), F.col("b")) / (norm(F.col("a")) * norm(F.col("b")))
+    return joined.select("movie_id", "cluster_id", F.round(dist(F.col("a"), F.col("b")), 4).alias("distance"), F.round(cosine, 6).alias("cosine"))
+
+
+def vec_literal_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    again = parse_literal(to_literal(F.col("v")), DIM)
+    total = F.aggregate(again, F.lit(0.0), lambda s, x: s + x)
+    return movie_vectors(spark, folder).select("id", F.size(again).alias("dims"), F.round(total, 4).alias("total"), (again == F.col("v")).alias("same"))
+
+
+def slugify(spark: SparkSession, folder: str) -> DataFrame:
+    movies = catalog.movies_once(table(spark, folder, "movies", "id", "title", "updated_at", "vote_count", "popularity"))
+    return movies.select("id", text_functions.slugify(F.col("title")).alias("slug"))
+
+
+def text_length_trim(spark: SparkSession, folder: str) -> DataFrame:
+    trimmed = text_functions.trim_all(F.col("text"))
+    return table(spark, folder, "documents", "doc_id", "text").select("doc_id", text_functions.utf16_length(trimmed).alias("units"), F.length(trimmed).alias("points"))
+
+
+def keyword_quality(spark: SparkSession, folder: str) -> DataFrame:
+    words = keywords.occurrences(table(spark, folder, "movies", "keywords"), "keywords")
+    bad = text_functions.matches_patterns(F.col("keyword"), keywords.FORMAT_PATTERNS + keywords.SENSITIVE_PATTERNS)
+    return words.select("keyword", (~bad).alias("good"))
+
+
+# ---- catalogue
+
+
+def movies_latest(spark: SparkSession, folder: str) -> DataFrame:
+    movies = catalog.movies_once(table(spark, folder, "movies"))
+    return movies.select("id", "tmdb_id", "vote_count", "popularity")
+
+
+def recent_cutoff(spark: SparkSession, folder: str) -> DataFrame:
+    days = table(spark, folder, "orders", "o_orderdate").select(F.col("o_orderdate").cast("date").alias("day")).distinct()
+    return days.select("day", text_functions.months_back(F.col("day"), 6).alias("cutoff"))
+
+
+def catalog_rank(spark: SparkSession, folder: str) -> DataFrame:
+    movies = catalog.movies_once(table(spark, folder, "movies", "id", "release_date", "popularity", "vote_count", "updated_at"))
+    cutoff = text_functions.months_back(F.lit(AS_OF).cast("date"), 6)
+    return catalog.recent_and_established(movies, cutoff)
+
+
+def release_years(spark: SparkSession, folder: str) -> DataFrame:
+    movies = catalog.movies_once(table(spark, folder, "movies", "id", "release_date", "tagline", "budget", "updated_at", "vote_count", "popularity"))
+    return movies.select(
+        "id",
+        text_functions.empty_to_null(F.col("release_date")).alias("release_date"),
+        text_functions.year_of(F.col("release_date")).alias("release_year"),
+        text_functions.empty_to_null(F.col("tagline")).alias("tagline"),
+        "budget",
+    )
+
+
+def replies(spark: SparkSession, folder: str, newest: bool = True) -> DataFrame:
+    """(movie_id, cast, crew) of the latest (or the first) reply of each movie; null where its shape is another."""
+    when = F.col("fetched_at").desc_nulls_last() if newest else F.col("fetched_at").asc_nulls_last()
+    known = table(spark, folder, "credits_raw", "fetch_id", "tmdb_id", "fetched_at", "payload").where(F.col("tmdb_id").isNotNull())
+    raw = catalog.latest_per_key(known, "tmdb_id", when, F.col("fetch_id").desc() if newest else F.col("fetch_id").asc())
+    return landed.parsed(raw, "payload", schemas.CREDITS).select(F.col("tmdb_id").alias("movie_id"), "reply.*")
+
+
+def flat_credits(spark: SparkSession, folder: str) -> DataFrame:
+    """The projection of nested replies: names of the first ten cast entries and of the directors, and their numbers."""
+    names = F.transform(F.filter("cast", lambda x: x.isNotNull()), lambda x: x["name"])
+    directors = F.transform(F.filter("crew", lambda x: x["job"] == "Director"), lambda x: x["name"])
+    return replies(spark, folder).select(
+        "movie_id",
+        F.coalesce(F.array_join(F.slice(names, 1, 10), "|"), F.lit("")).alias("top_cast"),
+        F.coalesce(F.array_join(directors, "|"), F.lit("")).alias("directors"),
+        F.coalesce(F.size(names), F.lit(0)).alias("n_cast"),
+    )
+
+
+def new_catalog_ids(spark: SparkSession, folder: str) -> DataFrame:
+    movies = table(spark, folder, "movies", "tmdb_id")
+    fetched = table(spark, folder, "credits_raw", "tmdb_id").where("tmdb_id is not null").distinct()
+    return catalog.not_in(movies.where("tmdb_id is not null").distinct(), fetched, "tmdb_id").unionByName(catalog.not_in(fetched, movies, "tmdb_id"))
+
+
+def unassigned_movies(spark: SparkSession, folder: str) -> DataFrame:
+    return catalog.not_in(movie_vectors(spark, folder).select("id"), table(spark, folder, "movie_cluster_assignments", "movie_id"), "id", "movie_id")
+
+
+def movies_without_neighbors(spark: SparkSession, folder: str) -> DataFrame:
+    return catalog.not_in(movie_vectors(spark, folder).select("id"), table(spark, folder, "movie_neighbors", "source_movie_id"), "id", "source_movie_id")
+
+
+def movies_without_documents(spark: SparkSession, folder: str) -> DataFrame:
+    movies = table(spark, folder, "movies", "tmdb_id").where("tmdb_id is not null").distinct()
+    return catalog.not_in(movies, table(spark, folder, "documents", "tmdb_id"), "tmdb_id")
+
+
+def keywords_todo(spark: SparkSession, folder: str) -> DataFrame:
+    movies = catalog.movies_once(table(spark, folder, "movies", "id", "keywords", "updated_at", "vote_count", "popularity"))
+    return catalog.missing_values(movies, "keywords").select("id", F.col("keywords").isNull().alias("unknown"))
+
+
+def catalog_page(spark: SparkSession, folder: str) -> DataFrame:
+    """One page of a keyset walk: its limit is the feature."""
+    return catalog.page(table(spark, folder, "movies", "id").distinct(), "id", "8", 500)
+
+
+# ---- clusters
+
+
+def _assigned(spark: SparkSession, folder: str, multiplier: float, normalized: bool = True) -> DataFrame:
+    names, centroids = clustering.centroid_table(cluster_vectors(spark, folder), "id", F.col("v"), normalized)
+    movies = movie_vectors(spark, folder).select("id", normalize(F.col("v")).alias("v"))
+    out = clustering.assign_nearest(movies, "id", "v", names, centroids, 4, multiplier)
+    return out.select(F.col("item_id").alias("movie_id"), "cluster_id", "rank", F.round("distance", 6).alias("distance"))
+
+
+def assign_top4_m14(spark: SparkSession, folder: str) -> DataFrame:
+    return _assigned(spark, folder, 1.4)
+
+
+def assign_top4_m1005(spark: SparkSession, folder: str) -> DataFrame:
+    return _assigned(spark, folder, 1.005)
+
+
+def assign_top4_plain_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Against the movies' own mean vectors per cluster, which are not made length 1."""
+    means = _member_means(spark, folder)
+    names, centroids = clustering.centroid_table(means, "cluster_id", F.col("centroid"), False)
+    movies = movie_vectors(spark, folder).select("id", normalize(F.col("v")).alias("v"))
+    out = clustering.assign_nearest(movies, "id", "v", names, centroids, 4, 1.4)
+    return out.select(F.col("item_id").alias("movie_id"), "cluster_id", "rank", F.round("distance", 6).alias("distance"))
+
+
+def assign_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    return clustering.clusters_per_item(_assigned(spark, folder, 1.6), "movie_id")
+
+
+def nearest_cluster(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest label-mean centroid of every embedding."""
+    items = _embedding_items(spark, folder)
+    names, centroids = _label_means(spark, folder)
+    out = clustering.assign_nearest(items, "id", "v", names, centroids, 1, None)
+    return out.select(F.col("item_id").cast("bigint").alias("vec_id"), F.col("cluster_id").cast("int").alias("label"), F.round("distance", 6).alias("distance"))
+
+
+def _embedding_items(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "embeddings", "vec_id", "embedding", "label").select(
+        F.col("vec_id").alias("id"), normalize(F.col("embedding").cast("array<double>")).alias("v"), "label"
+    )
+
+
+def _label_means(spark: SparkSession, folder: str) -> tuple[list[str], np.ndarray]:
+    means = clustering.packed_means(clustering.component_means(_embedding_items(spark, folder), "label", "v"), "label")
+    return clustering.centroid_table(means, "label", F.col("centroid"), False)
+
+
+def _members(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = table(spark, folder, "movie_cluster_assignments", "movie_id", "cluster_id").distinct()
+    movies = movie_vectors(spark, folder).select(F.col("id").alias("movie_id"), normalize(F.col("v")).alias("v"))
+    return pairs.join(movies, "movie_id")
+
+
+def _member_means(spark: SparkSession, folder: str) -> DataFrame:
+    return clustering.packed_means(clustering.component_means(_members(spark, folder), "cluster_id", "v"), "cluster_id")
+
+
+def centroid_means(spark: SparkSession, folder: str) -> DataFrame:
+    means = clustering.component_means(_members(spark, folder), "cluster_id", "v")
+    return means.select("cluster_id", F.col("pos").cast("int").alias("pos"), F.round("mean", 6).alias("mean"), "n")
+
+
+def cluster_popularity(spark: SparkSession, folder: str) -> DataFrame:
+    votes = catalog.movies_once(table(spark, folder, "movies", "id", "vote_count", "updated_at", "popularity")).select(F.col("id").alias("movie_id"), "vote_count")
+    out = clustering.popularity(table(spark, folder, "movie_cluster_assignments", "movie_id", "cluster_id").where("cluster_id is not null"), votes)
+    return out.select("cluster_id", "film_count", F.round("avg_vote_count", 4).alias("avg_vote_count"))
+
+
+def affected_group_recount(spark: SparkSession, folder: str) -> DataFrame:
+    """The clusters that a late assignment touched, with the number of their members."""
+    members = table(spark, folder, "movie_cluster_assignments", "movie_id", "cluster_id", "assigned_at")
+    late = members.where(F.col("assigned_at") >= F.lit("2025-05-20").cast("timestamp_ntz"))
+    return clustering.recount(members.select("movie_id", "cluster_id").distinct(), late, "cluster_id", "n_members")
+
+
+def lloyd_step(spark: SparkSession, folder: str) -> DataFrame:
+    return _lloyd(spark, folder, 1)
+
+
+def lloyd_3_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    return _lloyd(spark, folder, 3)
+
+
+def _lloyd(spark: SparkSession, folder: str, rounds: int) -> DataFrame:
+    """k-means over the embeddings from the vectors of the ten smallest ids."""
+    items = _embedding_items(spark, folder)
+    start = np.array([r.v for r in items.orderBy("id").limit(10).collect()])
+    centroids, _ = clustering.lloyd(items, "v", start, rounds, -1.0)
+    rows = [(k, i, round(float(x), 6)) for k, c in enumerate(centroids) for i, x in enumerate(c)]
+    return spark.createDataFrame(rows, "cluster int, pos int, mean double")
+
+
+def kmeans_mllib(spark: SparkSession, folder: str) -> DataFrame:
+    return clustering.kmeans_mllib(_embedding_items(spark, folder), "id", "v", 10)
+
+
+def kmeans_own(spark: SparkSession, folder: str) -> DataFrame:
+    """Weighted start, rounds to convergence, and every movie's native cluster."""
+    movies = session.stage(movie_vectors(spark, folder).select("id", normalize(F.col("v")).alias("v")), "units")
+    start = clustering.weighted_start(movies, "id", "v", 50)
+    centroids, _ = clustering.lloyd(movies, "v", start, 100, 1e-6)
+    names = [f"{i:03d}" for i in range(len(centroids))]
+    return clustering.assign_nearest(movies, "id", "v", names, centroids, 1, None)
+
+
+def cluster_label_samples(spark: SparkSession, folder: str) -> DataFrame:
+    members = table(spark, folder, "movie_cluster_assignments", "movie_id", "cluster_id").where("cluster_id is not null and movie_id is not null")
+    return keywords.sample_per_group(members, "cluster_id", "movie_id", 25)
+
+
+# ---- keywords
+
+
+def keyword_vocab(spark: SparkSession, folder: str) -> DataFrame:
+    movies = catalog.movies_once(table(spark, folder, "movies", "id", "keywords", "updated_at", "vote_count", "popularity"))
+    return keywords.vocabulary(movies, "keywords")
+
+
+def ungrouped_keywords(spark: SparkSession, folder: str) -> DataFrame:
+    """Vocabulary that is in no cluster's label."""
+    grouped = table(spark, folder, "movie_theme_clusters", "label").select(F.explode(F.split(F.lower("label"), " ")).alias("keyword"))
+    split = keywords.occurrences(table(spark, folder, "movies", "keywords"), "keywords").select(F.lower("keyword").alias("keyword")).distinct()
+    return catalog.not_in(split, grouped, "keyword")
+
+
+def group_slugs(spark: SparkSession, folder: str) -> DataFrame:
+    groups = table(spark, folder, "movie_theme_clusters", "id", "label").where(F.trim(F.col("label")) != "")
+    return keywords.unique_slugs(groups, "id", "label")
+
+
+# ---- credits
+
+
+def credit_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rows = credits.billed(replies(spark, folder))
+    return rows.select("movie_id", "tmdb_person_id", "credit_type", "ordinal", "character", "billing_order", "job", "department")
+
+
+def people(spark: SparkSession, folder: str) -> DataFrame:
+    return credits.people_last_wins(credits.billed(replies(spark, folder)))
+
+
+def people_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """The people of the movies' first replies, upserted with those of the latest ones."""
+    old = credits.people_last_wins(credits.billed(replies(spark, folder, newest=False)))
+    new = credits.people_last_wins(credits.billed(replies(spark, folder))).select("tmdb_person_id", "name", "popularity")
+    return credits.upsert(old, new, "tmdb_person_id").select("tmdb_person_id", "name", "profile_path", "popularity")
+
+
+def director_credits(spark: SparkSession, folder: str) -> DataFrame:
+    lists = credits.director_lists(credits.billed(replies(spark, folder)))
+    return lists.select("movie_id", F.array_join(F.transform("director_credits", lambda x: F.concat_ws(":", x["id"].cast("string"), x["name"])), "|").alias("director_credits"))
+
+
+def director_patch(spark: SparkSession, folder: str) -> DataFrame:
+    """The movies with their tagline replaced by the number of their directors, where a reply tells it."""
+    movies = catalog.movies_once(table(spark, folder, "movies", "id", "tmdb_id", "tagline", "updated_at", "vote_count", "popularity")).select("tmdb_id", "id", "tagline")
+    counts = credits.director_lists(credits.billed(replies(spark, folder))).select(F.col("movie_id").alias("tmdb_id"), F.size("director_credits").cast("string").alias("tagline"))
+    return credits.patch(movies, counts, "tmdb_id")
+
+
+# ---- nested records
+
+
+def nested_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each label stands at scalars, objects and arrays over all replies."""
+    nodes = nested.shred(table(spark, folder, "credits_raw", "fetch_id", "payload"), "fetch_id", "payload")
+    return nodes.groupBy("label", "kind").agg(F.count("*").alias("n"))
+
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     replies = table(spark, folder, "credits_raw", "fetch_id", "payload")
     nodes = session.stage(nested.shred(replies, "fetch_id", "payload", scalars=["id", "character", "job"]), "nodes")
-    return nested.credit_entities(nodes).select(
-        F.col("record").alias("fetch_id"), "credit_kind", "pos", "role_pos", "tmdb_person_id", "role_name"
-    )
+    return nested.credit_entities(nodes).select(F.col("record").alias("fetch_id"), "credit_kind", "pos", "role_pos", "tmdb_person_id", "role_name")
+
+
+# ---- rails
+
+
+def _rail_movies(spark: SparkSession, folder: str) -> DataFrame:
+    return session.stage(movie_vectors(spark, folder).select("id", normalize(F.col("v")).alias("vector"), "vote_count"), "rail-movies")
+
+
+def rails(spark: SparkSession, folder: str) -> DataFrame:
+    made = rail_operators.rails(_rail_movies(spark, folder))
+    return made.select("source_id", "rail", "rank", "neighbour_id", F.round("score", 6).alias("score"))
+
+
+def _rail(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        made = rail_operators.rails(_rail_movies(spark, folder), wanted=(name,))
+        return made.select("source_id", "rank", "neighbour_id", F.round("score", 6).alias("score"))
+
+    return run
+
+
+def rails_for_new(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rail of the movies that no neighbour row has yet."""
+    made = rail_operators.rails(_rail_movies(spark, folder), sources=movies_without_neighbors(spark, folder), wanted=("closest_match",))
+    return made.select("source_id", "rank", "neighbour_id", F.round("score", 6).alias("score"))
+
+
+def rails_incomplete(spark: SparkSession, folder: str) -> DataFrame:
+    return rail_operators.incomplete(movie_vectors(spark, folder), table(spark, folder, "movie_neighbors", "source_movie_id", "recommendation_type"), AUDITED)
+
+
+def rails_incomplete_observed(spark: SparkSession, folder: str) -> DataFrame:
+    return rail_operators.incomplete(movie_vectors(spark, folder), table(spark, folder, "movie_neighbors", "source_movie_id", "recommendation_type"), AUDITED, observed=True)
+
+
+# ---- sinks and streams
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder beside the checkpoints, on a cluster shared by all executors."""
+    base = session.ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/kinograph-sink-{next(tempfile._get_candidate_names())}"
+
+
+def run_audit(spark: SparkSession, folder: str) -> DataFrame:
+    path = _scratch(spark)
+    job = lambda: (table(spark, folder, "movies", "id").count(), 0)
+    sinks.audited(spark, "count", f"{path}/runs", job)
+    return spark.read.parquet(f"{path}/runs").select("run_type", "status", "rows_processed", "rows_failed", "error_message")
+
+
+def sink_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters written, then merged with the counts of today: a versioned table read again."""
+    path = f"{_scratch(spark)}/clusters"
+    sinks.replace(table(spark, folder, "movie_theme_clusters", "id", "film_count"), path)
+    counts = cluster_popularity(spark, folder).select(F.col("cluster_id").alias("id"), "film_count")
+    sinks.merge(counts, path, "id")
+    return sinks.read(spark, path)
+
+
+def stream_assign(spark: SparkSession, folder: str) -> DataFrame:
+    """The assignment of new movies as a stream over files, run twice: the second run finds nothing new."""
+    path = _scratch(spark)
+    source = f"{path}/in"
+    movie_vectors(spark, folder).select("id", normalize(F.col("v")).alias("v")).write.parquet(source)
+    names, centroids = clustering.centroid_table(cluster_vectors(spark, folder), "id", F.col("v"), True)
+    work = lambda df: clustering.assign_nearest(df, "id", "v", names, centroids, 4, 1.4)
+    for _ in range(2):
+        incremental.process_new(spark, source, "id string, v array<double>", f"{path}/out", f"{path}/state", work, "id", "item_id").awaitTermination()
+    out = spark.read.schema(f"{'item_id string, cluster_id string, rank int, distance double'}, batch int").parquet(f"{path}/out")
+    return out.select(F.col("item_id").alias("movie_id"), "cluster_id", "rank", F.round("distance", 6).alias("distance"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found}
+    plain = (
+        vec_normalize, vec_pair_distance, vec_literal_roundtrip, slugify, text_length_trim, keyword_quality, movies_latest, recent_cutoff, catalog_rank,
+        release_years, flat_credits, new_catalog_ids, unassigned_movies, movies_without_neighbors, movies_without_documents, keywords_todo, catalog_page,
+        assign_top4_m14, assign_top4_m1005, assign_top4_plain_centroids, assign_histogram, nearest_cluster, centroid_means, cluster_popularity,
+        affected_group_recount, lloyd_step, lloyd_3_rounds, kmeans_mllib, kmeans_own, cluster_label_samples, keyword_vocab, ungrouped_keywords,
+        group_slugs, credit_rows, people, people_upsert, director_credits, director_patch, nested_nodes, p2_found, rails, rails_for_new,
+        rails_incomplete, rails_incomplete_observed, run_audit, sink_merge, stream_assign,
+    )
+    return {f.__name__: f for f in plain} | {f"rail_{name}": _rail(name) for name in rail_operators.RAILS}
