@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinograph.functions.terms import term_set, term_sql
+from kinograph.functions.terms import SPACE_CLASS, term_set, term_sql
+from kinograph.functions.vectors import literal_pattern
 from kinograph import session
 from kinograph.llm import birch, contamination, cooccur, knn, packing, quality, setjoin, termfreq, topn
 from kinograph.llm.records import one_per_record
@@ -63,6 +64,21 @@ def p3_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return birch.describe(session.stage(assigned.select("record", "cluster", "cosine"), "assigned"))
 
 
+def _units_sql(name: str, source: str, column: str) -> str:
+    """A CTE (id, v) of usable vectors of length 1, one per id."""
+    return f"""{name} as (
+  select id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) v from (
+    select id, max(v) v from (
+      select id, case when regexp_matches({column}, '{literal_pattern(64)}') then cast(regexp_replace({column}, '{SPACE_CLASS}', '', 'g') as double[]) end v from {source} where id is not null)
+    where v is not null and len(list_filter(v, lambda x: x <> 0)) > 0 group by id))"""
+
+
+P3_SQL = f"""
+with {_units_sql("m", "movies", "essence_vector")}, {_units_sql("c", "movie_theme_clusters", "centroid")}
+select m.id movie_id, c.id cluster_id from m, c where list_inner_product(m.v, c.v) >= 0.9
+"""
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     pairs = cooccur.cooccurrence(table(spark, folder, "movies", "id", "keywords"), "id", "keywords", min_together=5)
     return cooccur.above_chance(pairs, 4).select("term_a", "term_b")
@@ -127,6 +143,14 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return near.select(F.least("query", "neighbour").alias("movie_id_a"), F.greatest("query", "neighbour").alias("movie_id_b")).distinct()
 
 
+P7_SQL = f"""
+with {_units_sql("m", "movies", "essence_vector")},
+p as (select a.id q, b.id n, list_inner_product(a.v, b.v) s from m a, m b where a.id <> b.id),
+k as (select *, row_number() over (partition by q order by s desc, n) r from p)
+select distinct least(q, n) movie_id_a, greatest(q, n) movie_id_b from k where r <= 10 and s >= 0.985
+"""
+
+
 def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     profiles = table(spark, folder, "pack_capacities", "profile", "max_tokens").where("profile is not null and max_tokens > 0").orderBy("profile").limit(1000).collect()
     return packing.pack(table(spark, folder, "documents", "doc_id", "text"), [(r.profile, r.max_tokens) for r in profiles])
@@ -141,6 +165,15 @@ def p9_spans(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.leaked_spans(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "eval_items", "item_id", "text"))
 
 
+P9_SQL = r"""
+with w as (
+  select 'd' kind, doc_id id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from documents where text is not null
+  union all select 'i', item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') from eval_items where text is not null),
+g as (select kind, id, array_to_string(w[i:i + 11], ' ') g from (select kind, id, w, unnest(range(1, len(w) - 10)) i from w))
+select distinct d.id doc_id, i.id item_id from g d join g i using (g) where d.kind = 'd' and i.kind = 'i'
+"""
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_statistics(spark, folder).where(F.col("form").isin("list", "table", "junk")).select("doc_id", "form")
 
@@ -170,4 +203,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL, "p6_found": P6_SQL}
+    return {"p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL}
