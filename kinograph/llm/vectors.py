@@ -2,46 +2,77 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinograph.functions.vectors import parse_literal, usable
+#: White space that may stand around a vector in text.
+_SPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
-def double_units(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame:
-    """``unit_vectors`` as ``array<double>``."""
-    return _units(df, record, vector, dim)
+def _not_json(name: str) -> None:
+    raise ValueError(name)
+
+
+def unit(value: str | list | None, dim: int) -> np.ndarray | None:
+    """The vector over its length, None if it is not usable: not ``dim`` finite numbers, or all zero.
+
+    Text must be a JSON array of numbers, outer white space allowed.
+    """
+    if isinstance(value, str):
+        try:
+            value = json.loads(value.strip(_SPACE), parse_constant=_not_json)
+        except (ValueError, RecursionError):
+            return None
+    if not isinstance(value, list) or len(value) != dim or not all(type(x) is int or type(x) is float for x in value):
+        return None
+    try:
+        v = np.array(value, np.float64)
+    except OverflowError:
+        return None
+    top = np.abs(v).max(initial=0.0)
+    if not 0 < top < np.inf:
+        return None
+    v /= top  # so that no scale over- or underflows
+    return v / np.sqrt(v @ v)
+
+
+def _units(df: DataFrame, record: str, vector: str, dim: int, kind: str) -> DataFrame:
+    arrow = pa.list_(pa.float32() if kind == "float" else pa.float64())
+    given = F.col(f"`{vector}`")
+    if dict(df.dtypes)[vector] != "string":
+        given = given.cast("array<double>")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = [unit(x, dim) for x in batch.column(1).to_pylist()]
+            at = [i for i, v in enumerate(units) if v is not None]
+            flat = np.concatenate([units[i] for i in at]) if at else np.zeros(0)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dim), pa.int32()), pa.array(flat.astype(np.float32 if kind == "float" else np.float64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), lists.cast(arrow)], names=["record", "vector"])
+
+    named = df.select(F.col(f"`{record}`").cast("string").alias("record"), given.alias("vector")).where(F.col("record").isNotNull() & F.col("vector").isNotNull())
+    return named.mapInArrow(run, f"record string, vector array<{kind}>").groupBy("record").agg(F.max("vector").alias("vector"))
 
 
 def unit_vectors(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame:
-    """(record, vector as ``array<float>`` of length 1) for every record with a usable vector.
+    """(record string, vector as ``array<float>`` of length 1) for every record with a usable vector.
 
     ``vector`` is a number list in text or an array of numbers.  Rows that
     repeat a record count once, with the greatest of their usable vectors;
     null records, and vectors that are null, of another length, all zero, not
     finite or not a valid list are left out.
     """
-    return _units(df, record, vector, dim).withColumn("vector", F.col("vector").cast("array<float>"))
-
-
-def _units(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame:
-    v = F.col(f"`{vector}`")
-    kind = dict(df.dtypes)[vector]
-    v = parse_literal(v, dim) if kind == "string" else v.cast("array<double>")
-    # lengths are measured after division by the greatest element, so no scale over- or underflows
-    return (
-        df.select(F.col(f"`{record}`").alias("record"), v.alias("v"))
-        .where(F.col("record").isNotNull() & (F.size("v") == dim))
-        .where(usable(F.col("v")))
-        .groupBy("record")
-        .agg(F.max("v").alias("v"))
-        .withColumn("top", F.array_max(F.transform("v", F.abs)))
-        .withColumn("v", F.transform("v", lambda x: x / F.col("top")))
-        .withColumn("length", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
-        .select("record", F.transform("v", lambda x: x / F.col("length")).alias("vector"))
-    )
+    return _units(df, record, vector, dim, "float")
+
+
+def double_units(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame:
+    """``unit_vectors`` as ``array<double>``."""
+    return _units(df, record, vector, dim, "double")
 
 
 def matrix(column: pa.Array, dim: int, dtype: type = np.float32) -> np.ndarray:
