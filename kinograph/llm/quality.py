@@ -33,12 +33,13 @@ _LEADER = re.compile(r"\.{3,}|…{2,}|_{3,}|-{4,}")
 _FIELD = re.compile(r"^\s*[^\s:,.]{1,20}(?: [^\s:,.]{1,20})?\s?[:=]\s*\S")
 _GAP = re.compile(r"\S {2,}(?=\S)")
 _LONG_CONSONANTS = re.compile(r"[bcdfghjklmnpqrstvwxz]{4,}", re.IGNORECASE)
-_VOWEL = re.compile(r"[aeiouyàâäáãåæéèêëíìîïóòôöõøœúùûüýÿ]", re.IGNORECASE)
+#: The vowels of Latin script.
+VOWELS = "aeiouyàâäáãåæéèêëíìîïóòôöõøœúùûüýÿ"
 _ENDS = re.compile(r"[.!?…][\"'”’»)\]]*\s*$|[\"”»]\s*$")
 _INNER = re.compile(r"[.!?;:][\"'”’»)]*\s+\S")
-_DIGIT = re.compile(r"\d")
 _SEPARATOR = re.compile(r"[,;|•·/\t]+|\s[-–—]\s")
-_NUMBER = re.compile(r"^[-+]?[\d.,:%$€]*\d[\d.,:%$€]*$")
+_NUMBER = re.compile(r"(?<!\S)[-+]?[\d.,:%$€]*\d[\d.,:%$€]*(?!\S)")
+_TIGHT_COMMA = re.compile(r",\S")
 
 #: The line statistics, in the order of ``line_statistics``.
 STATISTICS = (
@@ -50,6 +51,33 @@ STATISTICS = (
 )
 
 
+class _WordKinds(dict):
+    """What each word is, as bits: 1 long, 2 capital first, 4 common, 8 many consonants on end, 16 of mixed case.
+
+    Words come again and again, so each is looked at once; the store is emptied when it holds ``most``.
+    """
+
+    def __init__(self, common: frozenset[str], most: int = 300_000) -> None:
+        self.common, self.most = common, most
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        kind = (
+            (len(word) > 14)
+            | word[0].isupper() << 1
+            | (word.lower() in self.common) << 2
+            | (_LONG_CONSONANTS.search(word) is not None) << 3
+            | (word[1:].lower() != word[1:] and not word.isupper()) << 4
+        )
+        if len(word) <= 40:
+            self[word] = kind
+        return kind
+
+
+_WITH_BIT = {bit: bytes(k for k in range(32) if k & bit) for bit in (1, 2, 4, 8, 16)}
+
+
 def _skeleton(line: str) -> str:
     """The shape of a line's start: letters, digits and spaces by kind, other characters as they are."""
     out = []
@@ -59,75 +87,85 @@ def _skeleton(line: str) -> str:
         if c != last:
             out.append(c)
             last = c
-    return "".join(out[:4])
+            if len(out) == 4:
+                break
+    return "".join(out)
 
 
-def line_statistics(lines: Sequence[str], common: frozenset[str]) -> np.ndarray:
-    """A row of STATISTICS for each of a document's non-blank lines."""
-    out = np.zeros((len(lines), len(STATISTICS)), np.float32)
+def line_statistics(lines: Sequence[str], kinds: _WordKinds) -> tuple[list[tuple], list[tuple]]:
+    """For each of a document's non-blank lines its STATISTICS, and (words, letters in words, common words, ends a sentence)."""
+    out, sums = [], []
     shapes = [_skeleton(x) for x in lines]
     lengths = [len(x) for x in lines]
+    kind = kinds.__getitem__
     for i, line in enumerate(lines):
         n = len(line)
-        bare = _TAG.sub(" ", line)
         tags = line.count("<")
+        bare = _TAG.sub(" ", line) if tags else line
         words = _WORD.findall(bare)
         w = len(words)
-        low = [x.lower() for x in words]
-        letters = sum(map(len, words)) if w else 0
-        digits = len(_DIGIT.findall(line))
+        m = w or 1
+        sizes = list(map(len, words))
+        letters = sum(sizes)
+        bits = bytes(map(kind, words))
+        share = {b: (w - len(bits.translate(None, members))) for b, members in _WITH_BIT.items()}
+        digits = sum(map(line.count, "0123456789"))
         spaces = line.count(" ")
-        ascii_only = line.isascii()
-        high = 0 if ascii_only else sum("\x80" <= ch <= "\xbf" or ch in "ÃÂâï€™œ" or ch == "�" for ch in line)
-        other = 0 if ascii_only else sum(unicodedata.category(ch) in ("So", "Sk", "Cn", "Co", "Cc") for ch in line)
-        uppers = sum(map(str.isupper, line))
-        tokens = bare.split()
-        t = max(1, len(tokens))
-        m = max(1, w)
-        longest = max(map(len, words)) if w else 0
-        entries = [x for x in _SEPARATOR.split(_TAG.sub("|", line)) if x.strip()] or [""]
-        out[i] = (
-            math.log1p(n) / 5,
-            math.log1p(w) / 4,
-            min(letters / m, 20) / 8,
-            sum(len(x) > 14 for x in words) / m,
-            letters / n,
-            digits / n,
-            max(0, n - letters - spaces) / n,
-            other / n,
-            high / n,
-            spaces / n,
-            uppers / max(1, letters),
-            sum(x[0].isupper() for x in words) / m,
-            sum(x in common for x in low) / m,
-            len(set(low)) / m,
-            sum(bool(_NUMBER.match(x)) for x in tokens) / t,
-            sum(bool(_LONG_CONSONANTS.search(x)) for x in words) / m,
-            len(_VOWEL.findall(bare)) / max(1, letters),
-            1 - len(bare.replace(" ", "")) / max(1, n - spaces) if tags else 0,
-            min(1.0, 20 * tags / n),
-            bool(_ENDS.search(bare)),
-            min(3, len(_INNER.findall(bare))) / 3,
-            min(1.0, bare.count(",") / m),
-            bool(_MARK.match(line)),
-            bool(_SPOKEN.match(line)),
-            bool(_FIELD.match(line)),
-            bool(_LEADER.search(line)),
-            min(3, len(_GAP.findall(line))) / 3,
-            min(3, line.count("\t")) / 3,
-            min(3, line.count("|")) / 3,
-            min(1.0, len(re.findall(r",\S", bare)) / m),
-            line[:1] in " \t",
-            sum(x[1:].lower() != x[1:] and not x.isupper() for x in words) / m,
-            i > 0 and shapes[i] == shapes[i - 1],
-            i + 1 < len(lines) and shapes[i] == shapes[i + 1],
-            i > 0 and abs(lengths[i] - lengths[i - 1]) <= 0.1 * lengths[i],
-            min(longest, 80) / 40,
-            min(w / len(entries), 20) / 10,
-            min(max(map(len, map(_WORD.findall, entries))) if w else 0, 30) / 10,
-            min(1.0, bare.count(";") / m),
+        low = bare.lower()
+        if line.isascii():
+            high = other = 0
+            vowels = sum(map(low.count, "aeiouy"))
+        else:
+            high = sum("\x80" <= ch <= "\xbf" or ch in "ÃÂâï€™œ�" for ch in line)
+            other = sum(unicodedata.category(ch) in ("So", "Sk", "Cn", "Co", "Cc") for ch in line if ch > "~")
+            vowels = sum(map(low.count, VOWELS))
+        entries = [x for x in _SEPARATOR.split(_TAG.sub("|", line) if tags else line) if x and not x.isspace()] or [""]
+        ends = _ENDS.search(bare) is not None
+        out.append(
+            (
+                math.log1p(n) / 5,
+                math.log1p(w) / 4,
+                min(letters / m, 20) / 8,
+                share[1] / m,
+                letters / n,
+                digits / n,
+                max(0, n - letters - spaces) / n,
+                other / n,
+                high / n,
+                spaces / n,
+                sum(map(str.isupper, line)) / max(1, letters),
+                share[2] / m,
+                share[4] / m,
+                len(set(words)) / m,
+                min(1.0, len(_NUMBER.findall(bare)) / m),
+                share[8] / m,
+                vowels / max(1, letters),
+                1 - len(bare.replace(" ", "")) / max(1, n - spaces) if tags else 0,
+                min(1.0, 20 * tags / n),
+                ends,
+                min(3, len(_INNER.findall(bare))) / 3,
+                min(1.0, bare.count(",") / m),
+                _MARK.match(line) is not None,
+                _SPOKEN.match(line) is not None,
+                _FIELD.match(line) is not None,
+                _LEADER.search(line) is not None,
+                min(3, len(_GAP.findall(line))) / 3 if "  " in line else 0,
+                min(3, line.count("\t")) / 3,
+                min(3, line.count("|")) / 3,
+                min(1.0, len(_TIGHT_COMMA.findall(bare)) / m) if "," in bare else 0,
+                line[0].isspace(),
+                share[16] / m,
+                i > 0 and shapes[i] == shapes[i - 1],
+                i + 1 < len(lines) and shapes[i] == shapes[i + 1],
+                i > 0 and abs(lengths[i] - lengths[i - 1]) <= 0.1 * lengths[i],
+                min(max(sizes, default=0), 80) / 40,
+                min(w / len(entries), 20) / 10,
+                min(max(x.count(" ") for x in entries) if w else 0, 30) / 10,
+                min(1.0, bare.count(";") / m),
+            )
         )
-    return out
+        sums.append((w, letters, share[4], ends))
+    return out, sums
 
 
 @dataclass
@@ -300,12 +338,13 @@ def fit_model(documents: DataFrame, labels: DataFrame, most: int = 6000, most_li
     common = common_words(sample)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = _WordKinds(common)
         for batch in batches:
             for doc, form, text in zip(*(c.to_pylist() for c in batch.columns)):
                 lines, chars = split_lines(text)
                 if not lines:
                     continue
-                x = line_statistics(lines, common)
+                x = np.array(line_statistics(lines, kinds)[0], np.float32)
                 at = doc * 2654435761 % max(1, len(lines) - most_lines + 1) if len(lines) > most_lines else 0
                 x, chars = x[at : at + most_lines], chars[at : at + most_lines]
                 n = len(x)
@@ -336,8 +375,11 @@ _SCORED = pa.schema(
 def document_quality(documents: DataFrame, model: LineModel) -> DataFrame:
     """Text statistics and the shares of prose, list, table and junk for every row of ``documents`` (doc_id, text).
 
-    The shares are of the characters of non-blank lines; ``form`` is the form
-    of at least two thirds of them, else prose.
+    n_words, mean_word_length and common_word_share are over the words outside
+    of tags; symbol_ratio is the share of characters, white space aside, that
+    are in no word; punctuated_lines the share of lines that end a sentence.
+    The form shares are of the characters of non-blank lines; ``form`` is the
+    form of at least two thirds of them, else prose.
 
     * null, empty or blank text: n_words 0, ratios, shares and form null;
     * null doc_id and repeated rows: each row has its own result;
@@ -345,31 +387,31 @@ def document_quality(documents: DataFrame, model: LineModel) -> DataFrame:
     * an empty table gives no row; other columns are not read.
     """
 
-    def one(text: str | None) -> tuple:
-        lines, chars = split_lines(text or "")
-        if not lines:
-            return 0, None, None, None, None, None, None, None, None, None
-        path = model.states(model.emission.log_likelihood(line_statistics(lines, model.common)))
-        shares = np.bincount(path, weights=chars, minlength=len(FORMS)) / chars.sum()
-        words = _WORD.findall(text)
-        n = len(words)
-        total = sum(map(len, words))
-        solid = len(text) - sum(map(str.isspace, text))
-        return (
-            n,
-            total / n if n else None,
-            (solid - total) / solid,
-            sum(bool(_ENDS.search(x)) for x in lines) / len(lines),
-            sum(w.lower() in model.common for w in words) / n if n else None,
-            *map(float, shares),
-            form_of(shares),
-        )
+    empty = (0, *[None] * 9)
+
+    def scored(texts: list[str | None], kinds: _WordKinds) -> Iterator[tuple]:
+        split = [split_lines(x or "") for x in texts]
+        made = [line_statistics(lines, kinds) for lines, _ in split]
+        stats = [row for rows, _ in made for row in rows]
+        likelihood = model.emission.log_likelihood(np.array(stats, np.float32)) if stats else None
+        at = 0
+        for (lines, chars), (_, sums) in zip(split, made):
+            if not lines:
+                yield empty
+                continue
+            path = model.states(likelihood[at : at + len(lines)])
+            at += len(lines)
+            shares = np.bincount(path, weights=chars, minlength=len(FORMS)) / chars.sum()
+            n, letters, common, ends = map(sum, zip(*sums))
+            solid = sum(len(x) - sum(map(str.isspace, x)) for x in lines)
+            yield n, letters / n if n else None, (solid - letters) / solid, ends / len(lines), common / n if n else None, *map(float, shares), form_of(shares)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = _WordKinds(model.common)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000)
-                columns = zip(*map(one, part.column(1).to_pylist()))
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                columns = zip(*scored(part.column(1).to_pylist(), kinds))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, f.type) for c, f in zip(columns, list(_SCORED)[1:]))], schema=_SCORED)
 
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")).mapInArrow(
