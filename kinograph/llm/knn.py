@@ -53,7 +53,7 @@ class Router:
         return np.take_along_axis(top, order, 1)
 
 
-def neighbour_graph(x: np.ndarray, k: int, block: int = 1024) -> np.ndarray:
+def neighbour_graph(x: np.ndarray, k: int, block: int = 256) -> np.ndarray:
     """The k nearest others of each row by dot product."""
     k = min(k, len(x) - 1)
     out = np.empty((len(x), k), np.int32)
