@@ -50,9 +50,9 @@ def subset_keys(s: int, t: Fraction) -> int:
 
 
 def small_limit(t: Fraction, max_keys: int) -> int:
-    """The largest size up to which every set has at most ``max_keys`` subset keys."""
+    """The largest size, 64 at most, up to which every set has at most ``max_keys`` subset keys."""
     s = 0
-    while subset_keys(s + 1, t) <= max_keys:
+    while s < 64 and subset_keys(s + 1, t) <= max_keys:
         s += 1
     return s
 
