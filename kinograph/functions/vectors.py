@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,9 +31,22 @@ def to_literal(vector: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(vector.cast("array<string>"), ","), F.lit("]"))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row.
+
+    Catalyst writes an expression out wherever its column is used, inside a
+    lambda too, where it then runs once an element; bound to a lambda variable
+    it runs once.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def dot(a: Column, b: Column) -> Column:
     """Sum of products, first to last; null where the lengths differ."""
-    return F.when(F.size(a) == F.size(b), F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x))
+    return let(
+        F.struct(a.alias("a"), b.alias("b")),
+        lambda s: F.when(F.size(s["a"]) == F.size(s["b"]), F.aggregate(F.zip_with(s["a"], s["b"], lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)),
+    )
 
 
 def norm(vector: Column) -> Column:
@@ -40,13 +55,18 @@ def norm(vector: Column) -> Column:
 
 def normalize(vector: Column) -> Column:
     """The vector over its length; a zero vector stays as it is."""
-    length = norm(vector)
-    return F.when(length == 0, vector).otherwise(F.transform(vector, lambda x: x / length))
+    return let(
+        vector,
+        lambda v: let(F.struct(v.alias("v"), norm(v).alias("n")), lambda s: F.when(s["n"] == 0, s["v"]).otherwise(F.transform(s["v"], lambda x: x / s["n"]))),
+    )
 
 
 def sq_dist(a: Column, b: Column) -> Column:
     """Squared Euclidean distance; null where the lengths differ."""
-    return F.when(F.size(a) == F.size(b), F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    return let(
+        F.struct(a.alias("a"), b.alias("b")),
+        lambda s: F.when(F.size(s["a"]) == F.size(s["b"]), F.aggregate(F.zip_with(s["a"], s["b"], lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x)),
+    )
 
 
 def dist(a: Column, b: Column) -> Column:
@@ -55,4 +75,7 @@ def dist(a: Column, b: Column) -> Column:
 
 def usable(vector: Column) -> Column:
     """Not null, no null or infinite or NaN element, and not all zero."""
-    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < float("inf"))) & F.exists(vector, lambda x: x != 0)
+    return let(
+        vector,
+        lambda v: v.isNotNull() & F.coalesce(F.forall(v, lambda x: x.isNotNull() & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False)),
+    )
