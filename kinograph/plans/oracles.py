@@ -227,6 +227,9 @@ where a.cluster_id in (select cluster_id from movie_cluster_assignments where as
         "lloyd_3_rounds": _lloyd(3),
         "cluster_label_samples": """select cluster_id, movie_id, cast(k as int) pick from (
   select *, row_number() over (partition by cluster_id order by md5(movie_id), movie_id) k from (select distinct cluster_id, movie_id from movie_cluster_assignments where cluster_id is not null and movie_id is not null)) where k <= 25""",
+        "cluster_labels": f"""with {_MOV}, m as (select distinct cluster_id, title from movie_cluster_assignments a join mov on mov.id = a.movie_id where cluster_id is not null),
+p as (select * from (select *, row_number() over (partition by cluster_id order by md5(title), title) k from m where trim(title) <> '') where k <= 3)
+select cluster_id, coalesce(string_agg(title, ', ' order by k), 'Untitled Cluster') "label" from (select distinct cluster_id from m) left join p using (cluster_id) group by 1""",
         "keyword_vocab": f"with {_MOV}, k as (select keyword, count(*) n from (select unnest(keywords) keyword from mov) where keyword is not null group by 1 having count(*) >= 15) select keyword, n from k where not {_BAD}",
         "ungrouped_keywords": """select distinct lower(k) keyword from (select unnest(keywords) k from movies) where k is not null
 and lower(k) not in (select unnest(string_split(lower(label), ' ')) from movie_theme_clusters where label is not null)""",

@@ -270,6 +270,13 @@ def cluster_label_samples(spark: SparkSession, folder: str) -> DataFrame:
     return keywords.sample_per_group(members, "cluster_id", "movie_id", 25)
 
 
+def cluster_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """A label for every cluster, from the titles of a few of its movies."""
+    titles = catalog.movies_once(table(spark, folder, "movies", "id", "title", "updated_at", "vote_count", "popularity")).select(F.col("id").alias("movie_id"), "title")
+    members = table(spark, folder, "movie_cluster_assignments", "movie_id", "cluster_id").where("cluster_id is not null").join(titles, "movie_id")
+    return keywords.label_of(members, "cluster_id", "title", "Untitled Cluster")
+
+
 # ---- keywords
 
 
@@ -413,7 +420,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         vec_normalize, vec_pair_distance, vec_literal_roundtrip, slugify, text_length_trim, keyword_quality, movies_latest, recent_cutoff, catalog_rank,
         release_years, flat_credits, new_catalog_ids, unassigned_movies, movies_without_neighbors, movies_without_documents, keywords_todo, catalog_page,
         assign_top4_m14, assign_top4_m1005, assign_top4_plain_centroids, assign_histogram, nearest_cluster, centroid_means, cluster_popularity,
-        affected_group_recount, lloyd_step, lloyd_3_rounds, kmeans_mllib, kmeans_own, cluster_label_samples, keyword_vocab, ungrouped_keywords,
+        affected_group_recount, lloyd_step, lloyd_3_rounds, kmeans_mllib, kmeans_own, cluster_label_samples, cluster_labels, keyword_vocab, ungrouped_keywords,
         group_slugs, credit_rows, people, people_upsert, director_credits, director_patch, nested_nodes, p2_found, rails, rails_for_new,
         rails_incomplete, rails_incomplete_observed, run_audit, sink_merge, stream_assign,
     )
