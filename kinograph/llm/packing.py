@@ -15,7 +15,6 @@ from __future__ import annotations
 import base64
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
@@ -31,7 +30,6 @@ _COUNTS = pa.schema([("doc_id", pa.int64()), ("tokens", pa.int64())])
 _PACKED = pa.schema([("profile", pa.string()), ("container", pa.string()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("token_from", pa.int64()), ("token_to", pa.int64())])
 
 
-@lru_cache(maxsize=2)
 def tokenizer(folder: str, name: str):
     """The byte-level tokenizer of a rank file, special tokens being ordinary text."""
     import tiktoken
