@@ -5,4 +5,11 @@ The core packages (``functions``, ``operators``, ``sources``, ``streaming``,
 data; nothing outside that subpackage imports it.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in executors travel with the plan, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
