@@ -29,7 +29,8 @@ _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _TAG = re.compile(r"<[^<>]*>")
 _MARK = re.compile(r"\s*(?:[-*+•·–—>]\s|\[[ xX]?\]\s|\(?\d{1,4}[.)\]:]\s|\(?[a-zA-Z][.)]\s|[A-Z][a-z]{0,2}\.\s*\d+\s|#)")
 _SPOKEN = re.compile(r"\s*[-–—]\s")
-_LEADER = re.compile(r"\.{3,}|…{2,}|_{3,}|-{4,}")
+#: Dots or dashes that lead to a short entry at the line's end.
+_LEADER = re.compile(r"(?:\.{3,}+|…{2,}+|_{3,}+|-{4,}+)\s*+\S++(?:\s++\S++){0,3}+\s*+$")
 _FIELD = re.compile(r"^\s*[^\s:,.]{1,20}(?: [^\s:,.]{1,20})?\s?[:=]\s*\S")
 _GAP = re.compile(r"\S {2,}(?=\S)")
 _LONG_CONSONANTS = re.compile(r"[bcdfghjklmnpqrstvwxz]{4,}", re.IGNORECASE)
@@ -38,7 +39,7 @@ VOWELS = "aeiouyàâäáãåæéèêëíìîïóòôöõøœúùûüýÿ"
 _ENDS = re.compile(r"[.!?…][\"'”’»)\]]*\s*$|[\"”»]\s*$")
 _INNER = re.compile(r"[.!?;:][\"'”’»)]*\s+\S")
 _SEPARATOR = re.compile(r"[,;|•·/\t]+|\s[-–—]\s")
-_NUMBER = re.compile(r"(?<!\S)[-+]?[\d.,:%$€]*\d[\d.,:%$€]*(?!\S)")
+_NUMBER = re.compile(r"(?<!\S)[-+]?(?=[.,:%$€]*+\d)[\d.,:%$€]++(?!\S)")
 _TIGHT_COMMA = re.compile(r",\S")
 
 #: The line statistics, in the order of ``line_statistics``.
@@ -120,7 +121,7 @@ def line_statistics(lines: Sequence[str], kinds: _WordKinds) -> tuple[list[tuple
             other = sum(unicodedata.category(ch) in ("So", "Sk", "Cn", "Co", "Cc") for ch in line if ch > "~")
             vowels = sum(map(low.count, VOWELS))
         entries = [x for x in _SEPARATOR.split(_TAG.sub("|", line) if tags else line) if x and not x.isspace()] or [""]
-        ends = _ENDS.search(bare) is not None
+        ends = _ENDS.search(bare[-100:]) is not None
         out.append(
             (
                 math.log1p(n) / 5,
@@ -148,7 +149,7 @@ def line_statistics(lines: Sequence[str], kinds: _WordKinds) -> tuple[list[tuple
                 _MARK.match(line) is not None,
                 _SPOKEN.match(line) is not None,
                 _FIELD.match(line) is not None,
-                _LEADER.search(line) is not None,
+                n <= 1000 and _LEADER.search(line) is not None,
                 min(3, len(_GAP.findall(line))) / 3 if "  " in line else 0,
                 min(3, line.count("\t")) / 3,
                 min(3, line.count("|")) / 3,

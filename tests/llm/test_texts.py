@@ -161,3 +161,16 @@ def test_viterbi_smooths():
     like = np.log(np.array([[0.9, 0.1, 1e-3, 1e-3]] * 3 + [[0.4, 0.6, 1e-3, 1e-3]] + [[0.9, 0.1, 1e-3, 1e-3]] * 2))
     assert model.states(like).tolist() == [0] * 6
     assert model.states(like, (1, 2)).tolist() == [1] * 6
+
+
+def test_long_lines_take_linear_time():
+    import time
+
+    kinds = quality._WordKinds(frozenset())
+    lines = ["." * 100_000 + " a b c d e f", "1" * 100_000 + "x", "<" * 100_000, "a" * 100_000, '.")' * 50_000 + "x", " " * 100_000 + "x", "1,2.3 -4 x5"]
+    began = time.perf_counter()
+    stats, sums = quality.line_statistics(lines, kinds)
+    assert time.perf_counter() - began < 5
+    number = quality.STATISTICS.index("number_tokens")
+    assert len(stats) == 7 and all(len(x) == len(quality.STATISTICS) for x in stats)
+    assert stats[-1][number] == 2 / sums[-1][0] and stats[1][number] == 0
