@@ -324,7 +324,8 @@ def labelled(documents: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     votes = labels.where(F.col("form").isin(*FORMS) & F.col("doc_id").isNotNull()).groupBy("doc_id", "form").agg(F.count("*").alias("n"))
     first = votes.withColumn("r", F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("n"), "form"))).where("r = 1").select("doc_id", "form")
     chosen = first.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return documents.select(F.col("doc_id"), F.col("text")).where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").alias("doc"), "form", "text")
+    texts = documents.select(F.col("doc_id"), F.col("text")).where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy(F.col("doc_id").alias("doc"), "form").agg(F.max("text").alias("text"))  # rows that repeat an id are one
 
 
 def fit_model(documents: DataFrame, labels: DataFrame, most: int = 6000, most_lines: int = 100) -> LineModel:
