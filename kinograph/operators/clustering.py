@@ -105,7 +105,7 @@ def packed_means(means: DataFrame, group: str) -> DataFrame:
     )
 
 
-_SUMS = pa.schema([("cluster", pa.int32()), ("n", pa.int64()), ("sums", pa.list_(pa.float64())), ("changed", pa.int64()), ("cost", pa.float64())])
+_SUMS = pa.schema([("cluster", pa.int32()), ("n", pa.int64()), ("sums", pa.list_(pa.float64()))])
 
 
 def lloyd(items: DataFrame, vector: str, start: np.ndarray, most_rounds: int = 100, tolerance: float = 0.0) -> tuple[np.ndarray, int]:
@@ -144,11 +144,9 @@ def _round(rows: DataFrame, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarr
                 counts += np.bincount(near, minlength=k)
         used = np.flatnonzero(counts)
         if len(used):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()), pa.array(counts[used]), pa.array(list(sums[used]), pa.list_(pa.float64())), pa.array(np.zeros(len(used), np.int64)), pa.array(np.zeros(len(used)))], schema=_SUMS
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used]), pa.array(list(sums[used]), pa.list_(pa.float64()))], schema=_SUMS)
 
-    parts = rows.mapInArrow(run, "cluster int, n bigint, sums array<double>, changed bigint, cost double")
+    parts = rows.mapInArrow(run, "cluster int, n bigint, sums array<double>")
     total = (
         parts.select("cluster", "n", F.posexplode("sums").alias("pos", "x")).groupBy("cluster", "pos").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect()
     )  # k * dim rows
