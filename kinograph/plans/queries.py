@@ -259,7 +259,7 @@ def kmeans_mllib(spark: SparkSession, folder: str) -> DataFrame:
 def kmeans_own(spark: SparkSession, folder: str) -> DataFrame:
     """Weighted start, rounds to convergence, and every movie's native cluster."""
     movies = session.stage(movie_vectors(spark, folder).select("id", normalize(F.col("v")).alias("v")), "units")
-    start = clustering.weighted_start(movies, "id", "v", 50)
+    start = clustering.weighted_start(movies, "id", "v", 200)
     centroids, _ = clustering.lloyd(movies, "v", start, 100, 1e-6)
     names = [f"{i:03d}" for i in range(len(centroids))]
     return clustering.assign_nearest(movies, "id", "v", names, centroids, 1, None)

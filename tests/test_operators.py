@@ -2,10 +2,12 @@ from datetime import date
 
 import numpy as np
 import pytest
+from conftest import DATA
 from pyspark.sql import functions as F
 
 from kinograph import schemas
 from kinograph.operators import catalog, clustering, credits, keywords, rails
+from kinograph.plans import queries
 
 
 def test_latest_and_not_in(spark, rows):
@@ -83,6 +85,12 @@ def test_lloyd_keeps_an_empty_cluster(spark):
     assert centroids.tolist() == [[1.0, 0.0], [50.0, 50.0]]
 
 
+def test_kmeans_own_asks_for_as_many_clusters_as_the_reference(spark, monkeypatch):
+    asked, start = [], clustering.weighted_start
+    monkeypatch.setattr(clustering, "weighted_start", lambda items, key, vector, k: asked.append(k) or start(items, key, vector, k))
+    assert queries.kmeans_own(spark, DATA).count() > 0 and asked == [200]
+
+
 def test_assign_nearest(spark, rows):
     items = spark.createDataFrame([("x", [0.0, 0.0]), ("short", [1.0]), ("none", None)], "id string, v array<double>")
     names, centroids = ["a", "b", "c", "d", "e"], np.array([[1.0, 0], [0, 1.0], [0, 1.3], [0, 1.5], [0, 1.2]])
