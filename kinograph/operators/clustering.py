@@ -48,17 +48,21 @@ def assign_nearest(items: DataFrame, key: str, vector: str, names: list[str], ce
             for lo in range(0, batch.num_rows, 2048):
                 part = batch.slice(lo, 2048)
                 x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
-                rough = (x**2).sum(1)[:, None] + squares - 2 * x @ centroids.T
-                near = np.argpartition(rough, min(most, len(names) - 1), axis=1)[:, : most + 1]  # one more, lest rounding swaps the last
-                exact = np.sqrt(((x[:, None, :] - centroids[near]) ** 2).sum(2))
-                order = np.lexsort((near, exact), axis=1)[:, :most]  # centroids come by name, so places order names
-                near, exact = np.take_along_axis(near, order, 1), np.take_along_axis(exact, order, 1)
-                keep = np.ones(exact.shape, bool) if multiplier is None else exact <= exact[:, :1] * multiplier
-                keep[:, 0] = True
-                rank = np.broadcast_to(np.arange(1, most + 1, dtype=np.int32), exact.shape)
-                rows = np.repeat(np.arange(part.num_rows), keep.sum(1))
+                own = (x**2).sum(1)
+                rough = own[:, None] + squares - 2 * x @ centroids.T
+                rounding = 16 * (dim + 4) * np.finfo(float).eps * (own + squares.max())
+                bound = np.partition(rough, most - 1, axis=1)[:, most - 1] + rounding
+                rows, near = np.nonzero(rough <= bound[:, None])  # all ties of the last place
+                exact = np.concatenate([np.sqrt(((x[rows[b : b + 65536]] - centroids[near[b : b + 65536]]) ** 2).sum(1)) for b in range(0, len(rows), 65536)])
+                order = np.lexsort((near, exact, rows))  # centroids come by name, so places order names
+                rows, near, exact = rows[order], near[order], exact[order]
+                first = np.searchsorted(rows, rows)
+                rank = (np.arange(1, len(rows) + 1) - first).astype(np.int32)
+                keep = rank <= most
+                if multiplier is not None:
+                    keep &= (exact <= exact[first] * multiplier) | (rank == 1)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows)), pa.array(labels[near[keep]], pa.string()), pa.array(rank[keep]), pa.array(exact[keep])], schema=_ASSIGNED
+                    [part.column(0).take(pa.array(rows[keep])), pa.array(labels[near[keep]], pa.string()), pa.array(rank[keep]), pa.array(exact[keep])], schema=_ASSIGNED
                 )
 
     dim = centroids.shape[1] if len(names) else 0

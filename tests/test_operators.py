@@ -193,3 +193,12 @@ def test_incomplete(spark, rows):
     df = spark.createDataFrame(n, "source_movie_id string, recommendation_type string")
     assert rows(rails.incomplete(scored, df, rails.RAILS[2:])) == [("none", 0), ("one rail", 0)]
     assert rows(rails.incomplete(scored, df, rails.RAILS[2:], observed=True)) == [("none", 0)]
+
+
+def test_ties_at_the_last_place_go_by_name(spark, rows):
+    centroids = np.array([[9.0, 0.0]] * 3 + [[0.0, 1.0]] * 8 + [[9.0, 0.0]] * 9 + [[1.0, 0.0]])
+    names = [f"c{i:02d}" for i in range(len(centroids))]
+    items = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 0.0])], "id string, v array<double>")
+    for most, near, far in [(1, ["c20"], ["c03"]), (3, ["c20", "c03", "c04"], ["c03", "c04", "c05"]), (10, ["c20", *names[3:11], "c00"], [*names[3:11], "c20", "c00"])]:
+        got = rows(clustering.assign_nearest(items, "id", "v", names, centroids, most, None), "item_id", "rank", "cluster_id")
+        assert got == sorted([("a", i + 1, n) for i, n in enumerate(near)] + [("b", i + 1, n) for i, n in enumerate(far)], key=repr)
