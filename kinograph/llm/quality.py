@@ -19,10 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kinograph.llm.topn import top_n_per_group
+
 FORMS = ("prose", "list", "table", "junk")
 
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -310,34 +312,57 @@ def form_of(shares: np.ndarray, least: float = 2 / 3) -> str:
 _LABELLED = pa.schema([("doc", pa.int64()), ("form", pa.int32()), ("line", pa.int32()), ("chars", pa.int64()), ("x", pa.list_(pa.float32()))])
 
 
-def common_words(texts: DataFrame, form: str = "form", text: str = "text", least_share: float = 0.03, over: float = 3.0, most: int = 2000) -> frozenset[str]:
-    """Words in at least ``least_share`` of the labelled prose, and there ``over`` times as often as in other forms; ``most`` at most."""
-    docs = texts.select((F.col(form) == FORMS[0]).alias("prose"), F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"), F.lit(0))).alias("words"))
-    n = docs.agg(F.count(F.when(F.col("prose"), 1)).alias("p"), F.count(F.when(~F.col("prose"), 1)).alias("o")).first()
-    counts = docs.select("prose", F.explode("words").alias("word")).groupBy("word").agg(F.count(F.when(F.col("prose"), 1)).alias("p"), F.count(F.when(~F.col("prose"), 1)).alias("o"))
-    kept = counts.where((F.col("p") >= max(2, least_share * n.p)) & (F.col("p") / F.lit(max(1, n.p)) > over * F.col("o") / F.lit(max(1, n.o))))
-    return frozenset(r.word for r in kept.orderBy(F.desc("p"), "word").limit(most).collect())
+#: Languages times words of each that the driver holds; more are an error.
+MOST_COMMON = 200_000
+
+
+def _language(documents: DataFrame) -> Column:
+    """The first part of ``lang`` in lower case; one language for all where there is no such column."""
+    return F.coalesce(F.lower(F.trim(F.split("lang", "[-_]")[0])), F.lit("")) if "lang" in documents.columns else F.lit("")
+
+
+def _document_words(texts: DataFrame, *columns: str) -> DataFrame:
+    return texts.select(*columns, F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"), F.lit(0)))).alias("word"))
+
+
+def common_words(documents: DataFrame, sample: DataFrame, least_share: float = 0.03, over: float = 3.0, most: int = 2000) -> frozenset[str]:
+    """Words in at least ``least_share`` of all documents (language, text) of a language, five at least; ``most`` a language at most.
+
+    A word that the labelled ``sample`` (language, form, text) has twice or more in other forms must be ``over`` times as
+    frequent in prose there, if the language has labelled prose.
+    """
+    sizes = documents.where(F.col("text").isNotNull()).groupBy("language").agg(F.count("*").alias("n"))
+    counts = _document_words(documents, "language").groupBy("language", "word").agg(F.count("*").alias("d"))
+    frequent = counts.join(sizes, "language").where(F.col("d") >= F.greatest(F.lit(5), F.lit(least_share) * F.col("n")))
+    prose = lambda p, o: (F.count(F.when(F.col("form") == FORMS[0], 1)).alias(p), F.count(F.when(F.col("form") != FORMS[0], 1)).alias(o))
+    forms = _document_words(sample, "language", "form").groupBy("language", "word").agg(*prose("p", "o")).where("o >= 2")
+    foreign = forms.join(sample.groupBy("language").agg(*prose("prose", "other")), "language").where((F.col("prose") > 0) & (F.col("p") / F.col("prose") <= over * F.col("o") / F.col("other")))
+    kept = top_n_per_group(frequent.join(foreign, ["language", "word"], "left_anti").withColumn("d", F.col("d").cast("double")), ["language"], "word", "d", most)
+    words = kept.select("word").limit(MOST_COMMON + 1).collect()
+    if len(words) > MOST_COMMON:
+        raise ValueError(f"more than {MOST_COMMON} common words")
+    return frozenset(r.word for r in words)
 
 
 def labelled(documents: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """(doc, form, text) of at most ``most`` labelled documents, chosen by hash; a document's most frequent form, the first by name if equal."""
+    """(doc, form, text, language) of at most ``most`` labelled documents, chosen by hash; a document's most frequent form, the first by name if equal."""
     votes = labels.where(F.col("form").isin(*FORMS) & F.col("doc_id").isNotNull()).groupBy("doc_id", "form").agg(F.count("*").alias("n"))
     first = votes.withColumn("r", F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("n"), "form"))).where("r = 1").select("doc_id", "form")
     chosen = first.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    texts = documents.select(F.col("doc_id"), F.col("text")).where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
-    return texts.groupBy(F.col("doc_id").alias("doc"), "form").agg(F.max("text").alias("text"))  # rows that repeat an id are one
+    texts = documents.select(F.col("doc_id"), F.col("text"), _language(documents).alias("language")).where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy(F.col("doc_id").alias("doc"), "form").agg(F.max("text").alias("text"), F.max("language").alias("language"))  # rows that repeat an id are one
 
 
 def fit_model(documents: DataFrame, labels: DataFrame, most: int = 6000, most_lines: int = 100) -> LineModel:
     """The line model from a bounded sample: ``most`` labelled documents, of each a run of at most ``most_lines`` lines.
 
-    Statistics are made where the documents are; the driver gets at most most * most_lines rows of them.
+    The common words are counted over all ``documents``, by ``lang`` if they have it.  Statistics are made where the documents are; the driver gets at most most * most_lines rows of them.
     Without any labelled document there is nothing to fit and ValueError is raised.
     """
     from kinograph import session
 
     sample = session.stage(labelled(documents, labels, most), "labelled")
-    common = common_words(sample)
+    common = common_words(documents.select("text", _language(documents).alias("language")), sample)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = _WordKinds(common)
@@ -354,7 +379,7 @@ def fit_model(documents: DataFrame, labels: DataFrame, most: int = 6000, most_li
                     [pa.array([doc] * n, pa.int64()), pa.array([FORMS.index(form)] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(chars), pa.array(list(x), pa.list_(pa.float32()))], schema=_LABELLED
                 )
 
-    rows = sample.mapInArrow(run, "doc bigint, form int, line int, chars bigint, x array<float>").orderBy("doc", "line").toArrow()
+    rows = sample.select("doc", "form", "text").mapInArrow(run, "doc bigint, form int, line int, chars bigint, x array<float>").orderBy("doc", "line").toArrow()
     if not rows.num_rows:
         raise ValueError("no labelled document to fit on")
     doc = rows["doc"].to_numpy()

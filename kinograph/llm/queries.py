@@ -180,7 +180,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's text statistics and shares of prose, list, table and junk."""
-    documents = table(spark, folder, "documents", "doc_id", "text")
+    documents = table(spark, folder, "documents", "doc_id", "text", "lang")
     model = quality.fit_model(documents, table(spark, folder, "doc_labels", "doc_id", "form"))
     return quality.document_quality(documents, model)
 

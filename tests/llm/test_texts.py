@@ -156,6 +156,16 @@ def test_quality_on_held_out_texts(spark):
         quality.fit_model(d, lab.limit(0))
 
 
+def test_common_words_of_a_language_without_labels(spark):
+    rng = random.Random(4)
+    docs = [(i, written(quality.FORMS[i % 4], rng), rng.choice(["en", "EN", "en-GB"])) for i in range(320)]
+    docs += [(1000 + i, f"Byl jednou jeden král, který měl přece jen {w}. Nikdo se ho nebál, a tak šel do světa.", "cs") for i, w in enumerate("les hrad most koně strach poklad".split())]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    model = quality.fit_model(d, spark.createDataFrame([(i, quality.FORMS[i % 4]) for i in range(320)], "doc_id bigint, form string"))
+    assert {"byl", "se", "tak"} <= model.common and "poklad" not in model.common
+    assert all(r.common_word_share > 0.8 for r in quality.document_quality(d.where("lang = 'cs'"), model).collect())
+
+
 def test_viterbi_smooths():
     model = quality.LineModel(None, np.log(np.full(4, 0.25)), np.log(np.full((4, 4), 0.01) + np.eye(4) * 0.96), frozenset())
     like = np.log(np.array([[0.9, 0.1, 1e-3, 1e-3]] * 3 + [[0.4, 0.6, 1e-3, 1e-3]] + [[0.9, 0.1, 1e-3, 1e-3]] * 2))
