@@ -16,6 +16,10 @@ from kinograph.llm.vectors import double_units, unit_vectors
 from kinograph.tables import table
 
 
+#: Rows of capacities that the driver holds; more are an error.
+MOST_PROFILES = 1000
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     rails = topn.top_n_per_group(
         table(spark, folder, "movie_neighbors", "source_movie_id", "recommendation_type", "neighbor_movie_id", "score"),
@@ -152,7 +156,9 @@ select distinct least(q, n) movie_id_a, greatest(q, n) movie_id_b from k where r
 
 
 def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
-    profiles = table(spark, folder, "pack_capacities", "profile", "max_tokens").where("profile is not null and max_tokens > 0").orderBy("profile").limit(1000).collect()
+    profiles = table(spark, folder, "pack_capacities", "profile", "max_tokens").where("profile is not null and max_tokens > 0").orderBy("profile").limit(MOST_PROFILES + 1).collect()
+    if len(profiles) > MOST_PROFILES:
+        raise ValueError(f"more than {MOST_PROFILES} capacity profiles")
     return packing.pack(table(spark, folder, "documents", "doc_id", "text"), [(r.profile, r.max_tokens) for r in profiles])
 
 

@@ -184,3 +184,12 @@ def test_long_lines_take_linear_time():
     number = quality.STATISTICS.index("number_tokens")
     assert len(stats) == 7 and all(len(x) == len(quality.STATISTICS) for x in stats)
     assert stats[-1][number] == 2 / sums[-1][0] and stats[1][number] == 0
+
+
+def test_too_many_capacity_profiles_are_an_error(spark, tmp_path):
+    from kinograph.llm import queries
+
+    spark.range(1001).selectExpr("concat('p', id) profile", "cast(512 + id as int) max_tokens").write.parquet(f"{tmp_path}/pack_capacities.parquet")
+    spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    with pytest.raises(ValueError, match="1000"):
+        queries.p8_containers(spark, str(tmp_path))
