@@ -3,9 +3,12 @@
 1. Fit, on a bounded sample (``sample`` rows, chosen by hash): its neighbour
    graph is cut into balanced parts, and a small softmax classifier learns to
    tell from a vector the parts of its neighbours.
-2. Index: every row goes to its most probable part.  A part with more than
-   ``cell_rows`` rows is cut into cells by hash, so no part, however hot, is
-   held in one task's memory.
+2. Index: every row goes to its most probable part.  Parts hold about
+   ``part_rows`` rows, so their number grows with the table: beyond
+   ``fan_out`` of them each part of a first classifier has a classifier of its
+   own, fitted on a sample of its rows where they lie, and parts of parts.  A
+   part with more than ``cell_rows`` rows is cut into cells by hash, so no
+   part, however hot, is held in one task's memory.
 3. Search: every query goes to the cells of some parts and is ranked there
    exactly by cosine in blocks; the best k of all cells are the result.  With a
    least cosine these are all parts that can hold such a neighbour, so none is
@@ -20,7 +23,9 @@ of all rows with the same vector therefore costs one row.
 
 Rows travel once, and once for each part they are searched in (plus one copy
 per further cell of a hot part); a dense theme that is cut into many parts takes
-many.  A task holds one cell and one batch of queries.
+many.  A task holds one cell and one batch of queries; the queries of a cell
+with more than ``query_rows`` of them are spread over several tasks, each with
+the cell.
 """
 
 from __future__ import annotations
@@ -35,8 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kinograph import session
-from kinograph.llm.topn import top_n_per_group
-from kinograph.llm.vectors import matrix
+from kinograph.llm.vectors import as_packed, matrix
 
 
 @dataclass(frozen=True)
@@ -174,27 +178,56 @@ def fit(x: np.ndarray, parts: int, graph_k: int = 10) -> Router:
     return train_router(x, graph, balanced_parts(x, graph, parts), parts)
 
 
-_PLACED = pa.schema([("part", pa.int32()), ("record", pa.string()), ("vector", pa.list_(pa.float32()))])
+Choice = Callable[[Router, np.ndarray], tuple[np.ndarray, np.ndarray]]
 _HITS = pa.schema([("query", pa.string()), ("neighbour", pa.string()), ("cosine", pa.float64())])
+_PLACED = "part bigint, record string, vector binary"
 
 
-def _route(choose: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], dim: int):
-    """A row of each vector for every part that ``choose`` names."""
+def _pieces(router: Router, choose: Choice, batch: pa.RecordBatch, dim: int, offset: int = 0) -> Iterator[pa.RecordBatch]:
+    """The rows (record, vector) of a batch once for every part that ``choose`` names, ``offset`` added."""
+    for lo in range(0, batch.num_rows, 2048):
+        part = batch.slice(lo, 2048)
+        rows, parts = choose(router, matrix(part.column("vector"), dim))
+        for at in range(0, len(rows), 8192):
+            take = pa.array(rows[at : at + 8192])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts[at : at + 8192] + offset, pa.int64()), part.column("record").take(take), part.column("vector").take(take)], names=["part", "record", "vector"]
+            )
+
+
+def _route(router: Router, choose: Choice, dim: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _pieces(router, choose, batch, dim)
+
+    return run
+
+
+def _route_again(choose: Choice, dim: int, fan_out: int):
+    """The second level: rows come sorted by (part, salt, role), the part's own classifier (role 0) first."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        router, at = None, None
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
-                rows, parts = choose(matrix(part.column(1), dim))
-                for at in range(0, len(rows), 8192):
-                    take = pa.array(rows[at : at + 8192])
-                    yield pa.RecordBatch.from_arrays([pa.array(parts[at : at + 8192], pa.int32()), part.column(0).take(take), part.column(1).take(take)], schema=_PLACED)
+            if not batch.num_rows:
+                continue
+            code = np.stack([batch.column(c).to_numpy() for c in ("part", "salt", "role")], 1).astype(np.int64)
+            cuts = np.flatnonzero((np.diff(code, axis=0) != 0).any(1)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+                part, role = int(code[lo, 0]), int(code[lo, 2])
+                if role == 0:
+                    flat = np.frombuffer(batch.column("vector")[lo].as_py(), np.float32).reshape(dim + 1, -1)
+                    router, at = Router(flat[:-1], flat[-1]), part
+                else:
+                    if at != part:
+                        raise RuntimeError("a part without its classifier")
+                    yield from _pieces(router, choose, batch.slice(lo, hi - lo), dim, part * fan_out)
 
     return run
 
 
 def _search(dim: int, k: int, least: float, member_block: int, query_block: int = 512):
-    """Rows come sorted by (part, cell, role): a cell's members (role 0), then its queries (role 1)."""
+    """Rows come sorted by (part, cell, share, role): a cell's members (role 0), then queries (role 1)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def ranked(names: pa.Array, members: np.ndarray, ids: pa.Array, queries: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -215,33 +248,41 @@ def _search(dim: int, k: int, least: float, member_block: int, query_block: int
                 r, c, cosine = r[keep], c[keep], cosine[keep]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(lo + r)), names.take(pa.array(c)), pa.array(cosine)], schema=_HITS)
 
-        at: tuple[int, int] | None = None
+        at: tuple[int, ...] | None = None
         names: list[pa.Array] = []
         rows: list[np.ndarray] = []
         ready: tuple[pa.Array, np.ndarray] | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            code = np.stack([batch.column(i).to_numpy() for i in range(3)], 1).astype(np.int64)
+            code = np.stack([batch.column(c).to_numpy() for c in ("part", "cell", "share", "role")], 1).astype(np.int64)
             cuts = np.flatnonzero((np.diff(code, axis=0) != 0).any(1)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
                 part = batch.slice(lo, hi - lo)
-                cell, role = (int(code[lo, 0]), int(code[lo, 1])), int(code[lo, 2])
+                cell, role = tuple(code[lo, :3].tolist()), int(code[lo, 3])
                 if cell != at:
                     at, names, rows, ready = cell, [], [], None
                 if role == 0:
-                    names.append(part.column(3))
-                    rows.append(matrix(part.column(4), dim))
+                    names.append(part.column("record"))
+                    rows.append(matrix(part.column("vector"), dim))
                 elif names or ready:
                     if ready is None:
                         ready = pa.concat_arrays(names), np.concatenate(rows)
                         names, rows = [], []
                     for b in range(0, len(ready[1]), member_block):
-                        yield from ranked(ready[0].slice(b, member_block), ready[1][b : b + member_block], part.column(3), matrix(part.column(4), dim))
+                        yield from ranked(ready[0].slice(b, member_block), ready[1][b : b + member_block], part.column("record"), matrix(part.column("vector"), dim))
 
     return run
 
 
+def _classes(named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes of equal vectors, staged: (record, vector) with the least record of each, and (cls, copy) for every record of those with more than one."""
+    counted = session.stage(named.groupBy("vector").agg(F.min("record").alias("record"), F.count("*").alias("n")), "classes")
+    shared = counted.where("n > 1").select("vector", F.col("record").alias("cls"))
+    copies = session.stage(named.join(shared, "vector").select("cls", F.col("record").alias("copy")), "copies")
+    return counted.select("record", "vector"), copies
+
+
 def nearest(
     vectors: DataFrame,
     dim: int,
@@ -251,15 +292,16 @@ def nearest(
     probes: int = 4,
     mass: float = 0.98,
     part_rows: int = 2000,
-    max_parts: int = 1024,
+    fan_out: int = 1024,
     sample: int = 20_000,
     cell_rows: int = 8192,
+    query_rows: int = 65_536,
 ) -> DataFrame:
     """(query, neighbour, cosine, rnk): the k most similar others of every query.
 
-    ``vectors``: (record string, vector array<float> of length 1), a row per
-    record (see ``vectors.unit_vectors``); ``queries`` of the same form, by
-    default all of ``vectors``.  ``least`` keeps only neighbours of at least
+    ``vectors``: (record string, vector of length 1, packed or array<float>), a
+    row per record (see ``vectors.unit_vectors``); ``queries`` of the same form,
+    by default all of ``vectors``.  ``least`` keeps only neighbours of at least
     that cosine, and is applied where cells are searched.
 
     With ``least`` above -1 no neighbour is missed.  Without, approximate: a
@@ -271,58 +313,102 @@ def nearest(
     * a record is no neighbour of itself; two records with equal vectors are neighbours;
     * equal cosines: by ``neighbour`` ascending;
     * fewer than k others: all there are; an empty table gives no row;
-    * the classifier is fitted on ``sample`` rows at most; everything else uses all rows.
+    * a classifier is fitted on ``sample`` rows at most; everything else uses all rows.
     """
-    spark = vectors.sparkSession
-    named = vectors.select(F.col("record").cast("string").alias("record"), "vector")
-    if queries is not None:
-        queries = queries.select(F.col("record").cast("string").alias("record"), "vector")
-    classes = session.stage(named.groupBy("vector").agg(F.min("record").alias("record")), "classes")
-    asked = classes if queries is None else queries.groupBy("vector").agg(F.min("record").alias("record"))
-    hits = _class_hits(spark, classes, asked, dim, k, least, probes, mass, part_rows, max_parts, sample, cell_rows)
-
-    by_class = classes.withColumnRenamed("record", "cls")
-    copies = named.join(by_class, "vector").select("cls", "record")
-    first = F.row_number().over(W.partitionBy("cls").orderBy("record"))
-    names = copies.withColumn("r", first).where(F.col("r") <= k + 1).select("cls", "record")
-    found = top_n_per_group(
-        hits.join(names.withColumnRenamed("cls", "neighbour"), "neighbour").select("query", "record", "cosine"), ["query"], "record", "cosine", k + 1
-    )
-    lists = found.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rnk", "record", "cosine"))).alias("list"))  # k + 1 at most
-    who = copies.withColumnRenamed("cls", "query") if queries is None else queries.join(asked.withColumnRenamed("record", "query"), "vector").select("query", "record")
+    named = as_packed(vectors, dim)
+    classes, copies = _classes(named)
+    asked, asked_copies = (classes, copies) if queries is None else _classes(as_packed(queries, dim))
+    hits = _class_hits(classes, asked, dim, k, least, probes, mass, part_rows, fan_out, sample, cell_rows, query_rows)
+
+    first = F.row_number().over(W.partitionBy("cls").orderBy("copy"))
+    names = copies.withColumn("r", first).where(F.col("r") <= k + 1).select(F.col("cls").alias("neighbour"), "copy")
+    spread = hits.join(names, "neighbour", "left").select("query", F.coalesce("copy", "neighbour").alias("record"), "cosine")
+    rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("cosine"), "record"))
+    best = spread.withColumn("rnk", rank).where(F.col("rnk") <= k + 1)
+    lists = best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rnk", "record", "cosine"))).alias("list"))  # k + 1 at most
     return (
-        who.join(lists, "query")
-        .select(F.col("record").alias("q"), F.posexplode(F.slice(F.filter("list", lambda x: x["record"] != F.col("record")), 1, k)))
+        lists.join(asked_copies.withColumnRenamed("cls", "query"), "query", "left")
+        .select(F.coalesce("copy", "query").alias("q"), "list")
+        .select("q", F.posexplode(F.slice(F.filter("list", lambda x: x["record"] != F.col("q")), 1, k)))
         .select(F.col("q").alias("query"), F.col("col.record").alias("neighbour"), F.col("col.cosine").alias("cosine"), (F.col("pos") + 1).alias("rnk"))
     )
 
 
-def _class_hits(spark, vectors: DataFrame, asked: DataFrame, dim: int, k: int, least: float, probes: int, mass: float, part_rows: int, max_parts: int, sample: int, cell_rows: int) -> DataFrame:
+def _sampled(rows: DataFrame, n: int, sample: int) -> DataFrame:
+    """``sample`` of ``n`` rows by hash."""
+    share = min(1.0, 1.2 * sample / max(n, 1))
+    chosen = rows.where(F.pmod(F.xxhash64(F.lit(11), "record"), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
+    return chosen.orderBy(F.xxhash64("record"), "record").limit(sample)
+
+
+def _second_level(members: DataFrame, sizes: dict[int, int], dim: int, part_rows: int, sample: int, fan_out: int) -> DataFrame:
+    """(part, vector): a classifier for every part of the first level, its weights and bias packed, fitted on a sample of the part's rows."""
+    by_hash = F.row_number().over(W.partitionBy("part").orderBy(F.xxhash64(F.lit(13), "record"), "record"))
+    drawn = members.withColumn("_r", by_hash).where(F.col("_r") <= sample).drop("_r")
+    wanted = F.create_map(*(F.lit(x) for p, n in sizes.items() for x in (p, max(1, min(fan_out, round(n / part_rows))))))
+
+    def run(frame):
+        import pandas as pd
+
+        router = fit(np.array([np.frombuffer(v, np.float32) for v in frame["vector"]]).reshape(-1, dim), int(frame["parts"].iloc[0]))
+        flat = np.concatenate([router.weights, router.bias[None]]).astype(np.float32)
+        return pd.DataFrame({"part": [frame["part"].iloc[0]], "vector": [flat.tobytes()]})
+
+    return session.stage(drawn.withColumn("parts", wanted[F.col("part")]).groupBy("part").applyInPandas(run, "part bigint, vector binary"), "routers")  # sample rows a group
+
+
+def _again(rows: DataFrame, routers: DataFrame, salts: dict[int, int], choose: Choice, dim: int, fan_out: int) -> DataFrame:
+    """``rows`` (part, record, vector) placed by the classifiers of their parts; a part's rows are spread over ``salts`` tasks, each with its classifier."""
+    salt = F.coalesce(F.create_map(*(F.lit(x) for kv in salts.items() for x in kv))[F.col("part")], F.lit(1))
+    both = routers.select("part", F.explode(F.sequence(F.lit(0), salt.cast("int") - 1)).alias("salt"), F.lit(0).alias("role"), F.lit(None).cast("string").alias("record"), "vector").unionByName(
+        rows.select("part", F.pmod(F.xxhash64("record"), salt).cast("int").alias("salt"), F.lit(1).alias("role"), "record", "vector")
+    )
+    width = max(session.slots(rows.sparkSession), min(2 * sum(salts.values()), 4000))
+    return both.repartition(width, "part", "salt").sortWithinPartitions("part", "salt", "role").mapInArrow(_route_again(choose, dim, fan_out), _PLACED)
+
+
+def _class_hits(vectors: DataFrame, asked: DataFrame, dim: int, k: int, least: float, probes: int, mass: float, part_rows: int, fan_out: int, sample: int, cell_rows: int, query_rows: int) -> DataFrame:
     """(query, neighbour, cosine) of the best classes for every class asked for, its own with cosine 1 among them."""
+    spark = vectors.sparkSession
     n = vectors.count()
-    parts = max(1, min(max_parts, round(n / part_rows)))
-    share = min(1.0, 1.2 * sample / max(n, 1))
-    chosen = vectors.where(F.pmod(F.xxhash64(F.lit(11), "record"), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else vectors
-    rows = chosen.orderBy(F.xxhash64("record"), "record").limit(sample).select("vector").toPandas()["vector"] if parts > 1 else []
-    router = fit(np.array([np.asarray(v, np.float32) for v in rows], np.float32).reshape(-1, dim), parts)
-
-    placed_schema = "part int, record string, vector array<float>"
-    members = session.stage(vectors.select("record", "vector").mapInArrow(_route(router.home, dim), placed_schema), "parts")
-    sizes = members.groupBy("part").agg(F.count("*").alias("n")).collect()  # a row per part, at most max_parts
-    cells = {r.part: -(-r.n // cell_rows) for r in sizes}
-    cell_of = F.create_map(*(F.lit(x) for p in range(router.parts) for x in (p, cells.get(p, 1))))[F.col("part")]
+    parts = max(1, round(n / part_rows))
+    deep = parts > fan_out
+    if deep:
+        parts = min(fan_out, int(np.ceil(parts**0.5)))
+    rows = matrix(_sampled(vectors, n, sample).select("vector").toArrow()["vector"].combine_chunks(), dim) if parts > 1 else np.zeros((0, dim), np.float32)
+    router = fit(rows, parts)
+
     if least > -1:
         distance = float(np.sqrt(max(2 - 2 * least, 0.0) + 1e-6))  # lengths are 1 within rounding
-        choose = lambda x: router.within(x, distance)
+        choose: Choice = lambda r, x: r.within(x, distance)
     else:
-        choose = lambda x: router.probable(x, probes, mass)
-    asked = asked.select("record", "vector").mapInArrow(_route(choose, dim), placed_schema)
-    both = members.select("part", F.pmod(F.xxhash64("record"), cell_of).cast("int").alias("cell"), F.lit(0).alias("role"), "record", "vector").unionByName(
-        asked.select("part", F.explode(F.sequence(F.lit(0), cell_of.cast("int") - 1)).alias("cell"), F.lit(1).alias("role"), "record", "vector")
+        choose = lambda r, x: r.probable(x, probes, mass)
+    home: Choice = lambda r, x: r.home(x)
+    members = session.stage(vectors.mapInArrow(_route(router, home, dim), _PLACED), "parts")
+    placed = session.stage(asked.mapInArrow(_route(router, choose, dim), _PLACED), "asked")
+    counts = lambda df: {r.part: r["count"] for r in df.groupBy("part").count().collect()}  # noqa: E731 a row per part
+    if deep:
+        sizes = counts(members)
+        routers = _second_level(members, sizes, dim, part_rows, sample, fan_out)
+        spread = lambda c: {p: -(-m // query_rows) for p, m in c.items() if p in sizes}
+        members = session.stage(_again(members, routers, spread(sizes), home, dim, fan_out), "parts")
+        asked_sizes = counts(placed)
+        placed = placed.where(F.col("part").isin(list(sizes)))  # a part without rows has no neighbour
+        placed = session.stage(_again(placed, routers, spread(asked_sizes), choose, dim, fan_out), "asked")
+    # cells of a part and shares of its queries, as a table: there may be very many parts
+    plan = members.groupBy("part").agg(F.count("*").alias("m")).join(placed.groupBy("part").agg(F.count("*").alias("q")), "part")
+    plan = session.stage(plan.select("part", F.ceil(F.col("m") / cell_rows).cast("int").alias("cells"), F.ceil(F.col("q") / query_rows).cast("int").alias("shares")), "plan")
+    cells = plan.agg(F.sum(F.col("cells") * F.col("shares"))).first()[0] or 1
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    slot = lambda c: F.pmod(F.xxhash64("record"), F.col(c)).cast("int")
+    both = (
+        members.join(plan, "part")
+        .select("part", slot("cells").alias("cell"), each("shares").alias("share"), F.lit(0).alias("role"), "record", "vector")
+        .unionByName(placed.join(plan, "part").withColumn("share", slot("shares")).select("part", each("cells").alias("cell"), "share", F.lit(1).alias("role"), "record", "vector"))
     )
-    width = max(session.shuffle_partitions(spark), min(4 * sum(cells.values()), 4000))
+    width = max(session.slots(spark), min(2 * cells, 4000))
     return (
-        both.repartition(width, "part", "cell")
-        .sortWithinPartitions("part", "cell", "role", "record")
+        both.repartition(width, "part", "cell", "share")
+        .sortWithinPartitions("part", "cell", "share", "role", "record")
         .mapInArrow(_search(dim, k, least, 4096), "query string, neighbour string, cosine double")
     )

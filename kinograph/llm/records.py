@@ -9,16 +9,17 @@ from kinograph.functions.terms import term_list
 
 
 def one_per_record(df: DataFrame, record: str, *arrays: str) -> DataFrame:
-    """(record, then each array) with one row per non-null record.
+    """(record, then each array) with one row per non-null record; an array is empty where it is null.
 
-    Rows that repeat a record are taken as one, with the greatest of their
-    arrays, so repeated rows never count twice; other columns are not read.
+    Rows that repeat a record are taken as one: arrays that are equal count
+    once, those that differ are joined end to end, so nothing is lost and
+    repeated rows never count twice.  Other columns are not read.
     """
     return (
         df.select(F.col(f"`{record}`").alias("record"), *(F.col(f"`{a}`").alias(a) for a in arrays))
         .where(F.col("record").isNotNull())
         .groupBy("record")
-        .agg(*(F.max(a).alias(a) for a in arrays))
+        .agg(*(F.flatten(F.array_sort(F.collect_set(a))).alias(a) for a in arrays))
     )
 
 

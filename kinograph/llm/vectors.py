@@ -41,8 +41,7 @@ def unit(value: str | list | None, dim: int) -> np.ndarray | None:
     return v / np.sqrt(v @ v)
 
 
-def _units(df: DataFrame, record: str, vector: str, dim: int, kind: str) -> DataFrame:
-    arrow = pa.list_(pa.float32() if kind == "float" else pa.float64())
+def _units(df: DataFrame, record: str, vector: str, dim: int, dtype: type) -> DataFrame:
     given = F.col(f"`{vector}`")
     if dict(df.dtypes)[vector] != "string":
         given = given.cast("array<double>")
@@ -51,30 +50,60 @@ def _units(df: DataFrame, record: str, vector: str, dim: int, kind: str) -> Data
         for batch in batches:
             units = [unit(x, dim) for x in batch.column(1).to_pylist()]
             at = [i for i, v in enumerate(units) if v is not None]
-            flat = np.concatenate([units[i] for i in at]) if at else np.zeros(0)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dim), pa.int32()), pa.array(flat.astype(np.float32 if kind == "float" else np.float64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), lists.cast(arrow)], names=["record", "vector"])
+            rows = np.array([units[i] for i in at], dtype).reshape(-1, dim)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), packed(rows)], names=["record", "vector"])
 
     named = df.select(F.col(f"`{record}`").cast("string").alias("record"), given.alias("vector")).where(F.col("record").isNotNull() & F.col("vector").isNotNull())
-    return named.mapInArrow(run, f"record string, vector array<{kind}>").groupBy("record").agg(F.max("vector").alias("vector"))
+    return named.mapInArrow(run, "record string, vector binary").groupBy("record").agg(F.max("vector").alias("vector"))
 
 
 def unit_vectors(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame:
-    """(record string, vector as ``array<float>`` of length 1) for every record with a usable vector.
+    """(record string, vector binary) of length 1, packed as float32, for every record with a usable vector.
 
     ``vector`` is a number list in text or an array of numbers.  Rows that
-    repeat a record count once, with the greatest of their usable vectors;
-    null records, and vectors that are null, of another length, all zero, not
-    finite or not a valid list are left out.
+    repeat a record count once, with one of their usable vectors, always the
+    same; null records, and vectors that are null, of another length, all zero,
+    not finite or not a valid list are left out.
     """
-    return _units(df, record, vector, dim, "float")
+    return _units(df, record, vector, dim, np.float32)
 
 
 def double_units(df: DataFrame, record: str, vector: str, dim: int) -> DataFrame:
-    """``unit_vectors`` as ``array<double>``."""
-    return _units(df, record, vector, dim, "double")
+    """``unit_vectors`` packed as float64."""
+    return _units(df, record, vector, dim, np.float64)
+
+
+def packed(rows: np.ndarray) -> pa.Array:
+    """A binary column, the bytes of a row each: what Spark copies as one piece instead of number by number."""
+    rows = np.ascontiguousarray(rows)
+    width = rows.shape[1] * rows.itemsize
+    ends = np.arange(0, (len(rows) + 1) * width, width, np.int64) if width else np.zeros(len(rows) + 1, np.int64)
+    if ends[-1] >= 1 << 31:
+        raise ValueError("too many rows for one batch")
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(rows)])
+
+
+def matrix(column: pa.Array, dim: int, dtype: type = np.float32, stored: type = np.float32) -> np.ndarray:
+    """The rows of a column of ``dim`` numbers each: packed numbers of type ``stored``, or a list."""
+    if pa.types.is_binary(column.type):
+        if not len(column):
+            return np.zeros((0, dim), dtype)
+        _, ends, data = column.buffers()
+        ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1]
+        flat = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(stored)
+    else:
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(-1, dim).astype(dtype, copy=False)
+
+
+def as_packed(vectors: DataFrame, dim: int) -> DataFrame:
+    """(record string, vector binary) of a frame whose vectors are packed already or arrays of numbers."""
+    named = vectors.select(F.col("record").cast("string").alias("record"), "vector")
+    if dict(named.dtypes)["vector"] == "binary":
+        return named
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed(matrix(batch.column(1), dim))], names=["record", "vector"])
 
-def matrix(column: pa.Array, dim: int, dtype: type = np.float32) -> np.ndarray:
-    """The rows of a list column of ``dim`` numbers each."""
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(dtype, copy=False)
+    return named.mapInArrow(run, "record string, vector binary")
