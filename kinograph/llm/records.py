@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kinograph import session
 from kinograph.functions.terms import term_list
 
 
@@ -28,6 +30,20 @@ def term_records(df: DataFrame, record: str, array: str) -> DataFrame:
     return one_per_record(df, record, array).select("record", term_list(F.col(f"`{array}`")).alias("terms"))
 
 
-def memberships(df: DataFrame, record: str, array: str) -> DataFrame:
-    """(record, term): each term of each record once."""
-    return term_records(df, record, array).select("record", F.explode(F.array_distinct("terms")).alias("term"))
+def dense_codes(values: DataFrame, *order: Column) -> DataFrame:
+    """``values`` staged with a column ``code``: 0, 1, 2, ... in the given order, without gaps.
+
+    The order is made by range over the tasks; the driver sees a count per task.
+    """
+    spark = values.sparkSession
+    ranged = values.repartitionByRange(session.shuffle_partitions(spark), *order).withColumn("_p", F.spark_partition_id())
+    ranged = session.stage(ranged, "ranged")
+    sizes = {r["_p"]: r["count"] for r in ranged.groupBy("_p").count().collect()}
+    offsets, total = {}, 0
+    for p in sorted(sizes):
+        offsets[p], total = total, total + sizes[p]
+    if not offsets:
+        return session.stage(ranged.drop("_p").withColumn("code", F.lit(0)), "codes")
+    offset = F.create_map(*(F.lit(x) for kv in offsets.items() for x in kv))[F.col("_p")]
+    place = F.row_number().over(W.partitionBy("_p").orderBy(*order))
+    return session.stage(ranged.withColumn("code", (offset + place - 1).cast("int")).drop("_p"), "codes")

@@ -3,24 +3,27 @@
 For two sets of a and b values, Jaccard >= t is the same as an overlap of at
 least need(a, b) = ceil(t (a + b) / (1 + t)).
 
-* Sets that are equal are one *class*; the join runs over classes, and copies
-  are put back at the end (or left as classes and membership).
+* Sets that are equal are one *class*, told apart by their values, not by a
+  digest; the join runs over classes, and copies are put back at the end (or
+  left as classes and membership).
+* Values get whole numbers, rare ones first, so a set is an ascending list of
+  numbers; two values never share one.
 * Small sets, those with at most ``max_keys`` threshold-sized subsets over all
   partner sizes, enumerate these subsets.  Two classes that share a subset of
-  need(a, b) values of a partnership (a, b) are similar, so a key meets only
-  rows that are results.
-* Large sets scan inverted lists.  Values are ordered rare first; of two
-  similar sets, the first s - ceil(t s) + 1 values of both have one in
-  common, so only the lists of those are kept and scanned, with the bound on
-  sizes, and the overlap is counted.
-* The union of both is filtered by the similarity of the values themselves.
-
-Both joins are equi-joins on hashes that Spark may split where a key is hot.
+  need(a, b) values of a partnership (a, b) have at least that overlap.
+* Large sets scan inverted lists.  Of two similar sets, the first
+  s - ceil(t s) + 1 values of both have one in common, so only the lists of
+  those are kept.  An entry holds the place of the value in its set and 64 bits
+  of the set, no values: a pair is scanned only if the sizes, what is left
+  behind the two places, and the bits in which the sets differ allow the
+  overlap.  The list of a value that very many sets have is scanned by several
+  tasks, each with a share of the probes.
+* The values of the pairs that are left are fetched once a pair and compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from fractions import Fraction
 from itertools import combinations
 from math import ceil, comb, floor
@@ -31,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinograph import session
+from kinograph.llm.records import dense_codes
 
 _KEYS = pa.schema([("key", pa.int64()), ("cls", pa.int64())])
 
@@ -98,7 +102,26 @@ def _needed(a: Column, b: Column, t: Fraction) -> Column:
     return F.ceil(((a + b) * up).cast("decimal(20,0)") / F.lit(down).cast("decimal(20,0)"))
 
 
-def similar_sets(sets: DataFrame, record: str, values: str, threshold: str = "0.7", max_keys: int = 96) -> tuple[DataFrame, DataFrame]:
+def _classes(sets: DataFrame, record: str, values: str, digest: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+    """(cls, strings) of the distinct sets and (record, cls): ``cls`` is a number given to each, whatever the digests."""
+    clean = sets.select(
+        F.col(f"`{record}`").alias("record"), F.array_sort(F.array_distinct(F.array_compact(F.col(f"`{values}`")))).alias("strings")
+    ).where(F.size("strings") > 0)
+    clean = session.stage(clean.withColumn("h", digest(F.col("strings"))), "sets")
+    distinct = clean.groupBy("h", "strings").agg(F.lit(1).alias("_"))
+    classes = session.stage(distinct.select(F.monotonically_increasing_id().alias("cls"), "h", "strings"), "classes")
+    shared = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")  # digests that different sets have: next to none
+    names = clean.select("record", "h")
+    if not shared.limit(1).count():
+        return classes.select("cls", "strings"), names.join(classes.select("cls", "h"), "h").select("record", "cls")
+    alone = names.join(classes.join(shared, "h", "left_anti").select("cls", "h"), "h").select("record", "cls")
+    doubtful = clean.join(shared, "h", "left_semi").join(classes, ["h", "strings"]).select("record", "cls")
+    return classes.select("cls", "strings"), alone.unionByName(doubtful)
+
+
+def similar_sets(
+    sets: DataFrame, record: str, values: str, threshold: str = "0.7", max_keys: int = 96, hot: int = 50_000, digest: Callable[[Column], Column] = F.xxhash64
+) -> tuple[DataFrame, DataFrame]:
     """Similar classes and who is in them: ``(pairs, members)``.
 
     ``sets`` has one row per record, ``values`` an array of strings.
@@ -113,23 +136,20 @@ def similar_sets(sets: DataFrame, record: str, values: str, threshold: str = "0.
     * sets of any size: beyond the small ones the inverted lists serve;
     * an empty table gives two empty tables; other columns are not read.
 
-    Classes and values go by 64-bit hashes; the last filter compares the
-    strings, so a collision of values cannot add a pair.
+    Keys of subsets are 64-bit hashes, which may bring more pairs to the last
+    comparison but take none away.  ``hot``: entries of a list that one task scans.
     """
     t = Fraction(threshold)
     if not 0 < t <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
     limit = small_limit(t, max_keys)
-    clean = sets.select(
-        F.col(f"`{record}`").alias("record"), F.array_sort(F.array_distinct(F.array_compact(F.col(f"`{values}`")))).alias("strings")
-    ).where(F.size("strings") > 0)
-    clean = session.stage(clean.withColumn("cls", F.xxhash64("strings")), "sets")
-    members = clean.select("record", "cls")
-    classes = clean.groupBy("cls").agg(F.first("strings").alias("strings")).withColumn("size", F.size("strings"))
-    classes = session.stage(classes, "classes")
+    named, members = _classes(sets, record, values, digest)
+    codes = dense_codes(named.select(F.explode("strings").alias("string")).groupBy("string").agg(F.count("*").alias("f")), F.col("f"), F.col("string"))
+    coded = named.select("cls", F.explode("strings").alias("string")).join(codes.select("string", "code"), "string")
+    classes = coded.groupBy("cls").agg(F.array_sort(F.collect_list("code")).alias("v")).withColumn("size", F.size("v"))
+    classes = session.stage(classes, "coded")
 
-    small = classes.where(F.col("size") <= limit).select("cls", F.array_sort(F.transform("strings", lambda x: F.xxhash64(x))).alias("h"))
-    keys = small.mapInArrow(_subset_rows(t, limit), "key bigint, cls bigint")
+    keys = classes.where(F.col("size") <= limit).select("cls", F.col("v").cast("array<bigint>").alias("v")).mapInArrow(_subset_rows(t, limit), "key bigint, cls bigint")
     by_subset = (
         keys.select("key", F.col("cls").alias("cls_a"))
         .join(keys.select("key", F.col("cls").alias("cls_b")), "key")
@@ -138,28 +158,27 @@ def similar_sets(sets: DataFrame, record: str, values: str, threshold: str = "0.
     )
 
     least = ceil(t * (limit + 1))  # the smallest partner of a large set
-    tokens = classes.where(F.col("size") >= least).select("cls", "size", F.explode("strings").alias("string"))
-    frequency = classes.select(F.explode("strings").alias("string")).groupBy("string").agg(F.count("*").alias("f"))
-    ordered = (
-        tokens.join(frequency, "string")
-        .groupBy("cls", "size")
-        .agg(F.array_sort(F.collect_list(F.struct("f", F.xxhash64("string").alias("h")))).alias("x"))
-        .select("cls", "size", F.transform("x", lambda x: x["h"]).alias("h"))
-    )
-    ordered = session.stage(ordered, "ordered")
+    bits = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(x, F.lit(64)).cast("int"))))
     prefix = F.col("size") - F.ceil((F.col("size") * t.numerator).cast("decimal(20,0)") / F.lit(t.denominator).cast("decimal(20,0)")).cast("int") + 1
-    lists = ordered.withColumn("token", F.explode(F.slice("h", F.lit(1), prefix)))
-    probe = lists.where(F.col("size") > limit).select("token", F.col("cls").alias("p"), F.col("size").alias("ps"), F.col("h").alias("ph"))
-    index = lists.select("token", F.col("cls").alias("q"), F.col("size").alias("qs"), F.col("h").alias("qh"))
+    lists = classes.where(F.col("size") >= least).select("cls", "size", bits.alias("bits"), F.posexplode(F.slice("v", F.lit(1), prefix)).alias("at", "token"))
+    lists = session.stage(lists, "lists")
+    shares = lists.groupBy("token").agg(F.ceil(F.count("*") / hot).cast("int").alias("shares")).where("shares > 1")
+    salted = lists.join(shares, "token", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
+    entry = lambda df, p: df.select("token", "salt", *(F.col(c).alias(p + c) for c in ("cls", "size", "bits", "at")))
+    probe = entry(salted.where(F.col("size") > limit).withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("shares")).cast("int")), "p")
+    index = entry(salted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))), "q")
+    wanted = _needed(F.col("psize"), F.col("qsize"), t)
     by_list = (
-        probe.join(index, "token")
-        .where((F.col("p") != F.col("q")) & ((F.col("qs") <= limit) | (F.col("p") < F.col("q"))))
-        .where((F.col("qs") * t.denominator >= F.col("ps") * t.numerator) & (F.col("ps") * t.denominator >= F.col("qs") * t.numerator))
-        .where(F.size(F.array_intersect("ph", "qh")) >= _needed(F.col("ps"), F.col("qs"), t))
-        .select(F.least("p", "q").alias("cls_a"), F.greatest("p", "q").alias("cls_b"))
+        probe.join(index, ["token", "salt"])
+        .where((F.col("pcls") != F.col("qcls")) & ((F.col("qsize") <= limit) | (F.col("pcls") < F.col("qcls"))))
+        .where((F.col("qsize") * t.denominator >= F.col("psize") * t.numerator) & (F.col("psize") * t.denominator >= F.col("qsize") * t.numerator))
+        # at the first value that both have; what other common values let through or not does not matter
+        .where(F.least(F.col("psize") - F.col("pat"), F.col("qsize") - F.col("qat")) >= wanted)
+        .where(F.bit_count(F.col("pbits").bitwiseXOR(F.col("qbits"))) <= F.col("psize") + F.col("qsize") - 2 * wanted)
+        .select(F.least("pcls", "qcls").alias("cls_a"), F.greatest("pcls", "qcls").alias("cls_b"))
     )
     candidates = by_subset.unionByName(by_list).distinct()
-    side = lambda c, s: classes.select(F.col("cls").alias(c), F.col("strings").alias(s))
+    side = lambda c, s: classes.select(F.col("cls").alias(c), F.col("v").alias(s))
     pairs = (
         candidates.join(side("cls_a", "sa"), "cls_a")
         .join(side("cls_b", "sb"), "cls_b")
@@ -172,7 +191,11 @@ def similar_sets(sets: DataFrame, record: str, values: str, threshold: str = "0.
 
 
 def member_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """(record_a, record_b), smaller first: every two different records whose sets are similar or equal."""
+    """(record_a, record_b), smaller first: every two different records whose sets are similar or equal.
+
+    m copies of a set give m (m - 1) / 2 rows, as many as the result has by its
+    definition; ``pairs`` and ``members`` say the same in a row a record.
+    """
     side = lambda c, r: members.select(F.col("cls").alias(c), F.col("record").alias(r))
     across = pairs.join(side("cls_a", "a"), "cls_a").join(side("cls_b", "b"), "cls_b")
     shared = members.groupBy("cls").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("cls")

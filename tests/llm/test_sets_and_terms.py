@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kinograph.llm import cooccur, setjoin, termfreq
 
@@ -31,7 +32,10 @@ def frame(spark, data):
     return spark.createDataFrame([(i, k, "clash", 7, 7) for i, k in data], SCHEMA)
 
 
-def test_cooccurrence(spark, rows):
+@pytest.mark.parametrize(("item_block", "long_basket", "held"), [(4, 4096, True), (4096, 4, True), (3, 4, False)])
+def test_cooccurrence(spark, rows, monkeypatch, item_block, long_basket, held):
+    if not held:
+        monkeypatch.setattr(cooccur, "MOST_HELD", 0)
     data = baskets()
     df = frame(spark, data + data[:40] + [(None, ["w1", "w2"])])  # repeated rows count once, a null record not at all
     single, pair = Counter(), Counter()
@@ -40,23 +44,40 @@ def test_cooccurrence(spark, rows):
         single.update(t)
         pair.update(combinations(t, 2))
     want = sorted((a, b, n, single[a], single[b], len(data)) for (a, b), n in pair.items() if n >= 5)
-    got = cooccur.cooccurrence(df, "id", "ks", 5, block_rows=64)
+    got = cooccur.cooccurrence(df, "id", "ks", 5, item_block=item_block, block_ones=64, long_basket=long_basket, most_cells=50)
     assert rows(got, "term_a", "term_b", "n_ab", "n_a", "n_b", "n") == want
     assert rows(cooccur.above_chance(got, 2), "term_a", "term_b") == sorted((a, b) for a, b, n, x, y, m in want if n * m >= 2 * x * y)
     assert cooccur.cooccurrence(df.limit(0), "id", "ks").count() == 0
 
 
+def test_rows_of_one_record_with_other_terms_are_joined(spark, rows):
+    df = spark.createDataFrame([("a", ["x"]), ("a", ["y", "x"]), ("b", ["x", "y"]), ("b", ["x", "y"]), ("c", None)], "id string, ks array<string>")
+    assert rows(cooccur.cooccurrence(df, "id", "ks", 1), "term_a", "term_b", "n_ab", "n_a", "n_b", "n") == [("x", "y", 2, 2, 2, 3)]
+    assert rows(termfreq.term_frequencies(df, "id", "ks")) == [("x", 3, 2), ("y", 2, 2)]
+
+
 @settings(max_examples=50, deadline=None)
-@given(st.lists(st.sets(st.integers(0, 30), max_size=12), max_size=20), st.sampled_from([3, 8, 64]), st.sampled_from([5, 1000]))
-def test_gram_cells(sets, block, chunk):
-    pairs = [(r, i) for r, s in enumerate(sets) for i in s]
-    got = Counter()
-    if pairs:
-        r, i = np.array(pairs).T
-        for a, b, n in cooccur.gram_cells(r, i, 31, block, chunk):
-            for x, y, c in zip(a.tolist(), b.tolist(), n.tolist()):
-                got[x, y] += c
-    assert got == Counter(p for s in sets for p in combinations(sorted(s), 2))
+@given(st.lists(st.sets(st.integers(0, 30), max_size=12), max_size=20), st.sampled_from([3, 8, 64]), st.sampled_from([5, 1000]), st.sampled_from([1, 4]))
+def test_gram(sets, block, pending, per_add):
+    gram, got = cooccur.Gram(block, pending), Counter()
+    for at in range(0, len(sets), per_add):
+        part = [sorted(s) for s in sets[at : at + per_add]]
+        gram.add(np.cumsum([0, *map(len, part)]), np.array([x for s in part for x in s], np.int32), limit=pending)
+    assert set(gram.counted) | set(gram.waiting) == {(a // block, b // block) for s in sets for a, b in combinations(sorted(s), 2)}
+    for batch in gram.drain():
+        for x, y, c in zip(*(c.to_pylist() for c in batch.columns)):
+            assert (x, y) not in got
+            got[x, y] = c
+    assert got == Counter(p for s in sets for p in combinations(sorted(s), 2)) and gram.cells == 0
+
+
+def test_a_basket_of_very_many_terms_ends(spark):
+    """A million terms that no other record has, and three thousand that four others have."""
+    shared = [f"s{i}" for i in range(3000)]
+    df = spark.createDataFrame([(i, shared if i else []) for i in range(5)], "id int, ks array<string>")
+    df = df.selectExpr("id", "if(id = 0, concat(ks, transform(sequence(1, 1000000), x -> concat('t', x))), ks) ks")
+    df = df.selectExpr("id", f"if(id = 0, concat(ks, array({','.join(repr(x) for x in shared)})), ks) ks")
+    assert cooccur.cooccurrence(df, "id", "ks", 5, long_basket=1000).selectExpr("count(*)", "min(n_ab)", "max(n_ab)").first() == (3000 * 2999 // 2, 5, 5)
 
 
 @pytest.mark.parametrize("burst", [1, 3, 256])
@@ -88,8 +109,11 @@ def jaccard_pairs(sets, t):
     return sorted((a, b) for (a, x), (b, y) in combinations(sorted(sets.items()), 2) if x and y and Fraction(len(x & y), len(x | y)) >= t)
 
 
-@pytest.mark.parametrize(("threshold", "max_keys"), [("0.7", 96), ("0.7", 3), ("0.5", 40), ("1", 96)])
-def test_similar_sets(spark, rows, threshold, max_keys):
+@pytest.mark.parametrize(
+    ("threshold", "max_keys", "hot", "digest"),
+    [("0.7", 96, 50_000, F.xxhash64), ("0.7", 3, 10, lambda x: F.size(x).cast("bigint")), ("0.5", 40, 5, F.xxhash64), ("1", 96, 50_000, lambda x: F.xxhash64(x) % 7)],
+)  # digests that different sets share, and lists that are scanned in shares
+def test_similar_sets(spark, rows, threshold, max_keys, hot, digest):
     rng = random.Random(5)
     data = {}
     for i in range(160):
@@ -99,7 +123,7 @@ def test_similar_sets(spark, rows, threshold, max_keys):
             data[f"s{i:03d}x"] = [v for v in base if rng.random() > 0.12] + ([f"v{rng.randrange(40)}"] if rng.random() < 0.5 else [])
             data[f"s{i:03d}y"] = base[::-1] + base[:1]
     df = spark.createDataFrame([*((k, [*v, None], 1, "c") for k, v in data.items()), ("null", None, 1, "c"), ("empty", [], 1, "c")], "id string, vs array<string>, cls int, strings string")
-    pairs, members = setjoin.similar_sets(df, "id", "vs", threshold, max_keys)
+    pairs, members = setjoin.similar_sets(df, "id", "vs", threshold, max_keys, hot, digest)
     sets = {k: frozenset(v) for k, v in data.items()}
     assert rows(setjoin.member_pairs(pairs, members)) == jaccard_pairs(sets, Fraction(threshold))
     assert members.count() == len(data)
