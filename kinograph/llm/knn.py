@@ -397,8 +397,9 @@ def _class_hits(vectors: DataFrame, asked: DataFrame, dim: int, k: int, least: f
         placed = session.stage(_again(placed, routers, spread(asked_sizes), choose, dim, fan_out), "asked")
     # cells of a part and shares of its queries, as a table: there may be very many parts
     plan = members.groupBy("part").agg(F.count("*").alias("m")).join(placed.groupBy("part").agg(F.count("*").alias("q")), "part")
-    plan = session.stage(plan.select("part", F.ceil(F.col("m") / cell_rows).cast("int").alias("cells"), F.ceil(F.col("q") / query_rows).cast("int").alias("shares")), "plan")
-    cells = plan.agg(F.sum(F.col("cells") * F.col("shares"))).first()[0] or 1
+    plan = session.stage(plan.select("part", "m", "q", F.ceil(F.col("m") / cell_rows).cast("int").alias("cells"), F.ceil(F.col("q") / query_rows).cast("int").alias("shares")), "plan")
+    cells, copies = plan.agg(F.sum(F.col("cells") * F.col("shares")), F.sum(F.col("m") * F.col("shares") + F.col("q") * F.col("cells"))).first()
+    plan = plan.select("part", "cells", "shares")
     each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     slot = lambda c: F.pmod(F.xxhash64("record"), F.col(c)).cast("int")
     both = (
@@ -406,7 +407,7 @@ def _class_hits(vectors: DataFrame, asked: DataFrame, dim: int, k: int, least: f
         .select("part", slot("cells").alias("cell"), each("shares").alias("share"), F.lit(0).alias("role"), "record", "vector")
         .unionByName(placed.join(plan, "part").withColumn("share", slot("shares")).select("part", each("cells").alias("cell"), "share", F.lit(1).alias("role"), "record", "vector"))
     )
-    width = max(session.slots(spark), min(2 * cells, 4000))
+    width = max(session.slots(spark), min(2 * (cells or 1), -(-(copies or 1) // 4096), 4000))
     return (
         both.repartition(width, "part", "cell", "share")
         .sortWithinPartitions("part", "cell", "share", "role", "record")
