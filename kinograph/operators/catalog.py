@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kinograph import session
 from kinograph.functions.text import empty_to_null, prefixed, year_of
 
 
@@ -21,10 +22,11 @@ def latest_per_key(df: DataFrame, key: str, *order: Column) -> DataFrame:
 
 
 def movies_once(movies: DataFrame) -> DataFrame:
-    """One row per movie id: the latest, then the most voted and most popular."""
+    """One row per movie id: the latest, then the most voted and most popular, then by its other columns, so that the choice is always the same."""
     named = movies.where(F.col("id").isNotNull())
-    newest = [F.col(c).desc_nulls_last() for c in ("updated_at", "vote_count", "popularity") if c in movies.columns]
-    return latest_per_key(named, "id", *newest)
+    first = [c for c in ("updated_at", "vote_count", "popularity") if c in movies.columns]
+    rest = [c for c, kind in movies.dtypes if c not in first and c != "id" and "map<" not in kind]
+    return latest_per_key(named, "id", *(F.col(c).desc_nulls_last() for c in (*first, *rest)))
 
 
 def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
@@ -95,6 +97,23 @@ def flat_movie(detail: DataFrame, image_base: str = "") -> DataFrame:
     )
 
 
+def by_votes(movies: DataFrame, nulls_first: bool = True) -> DataFrame:
+    """(id, vote_count, rank): all movies by votes, most first, ties by id; ``nulls_first`` puts unknown votes before all, as a descending sort of the catalogue's store does.
+
+    The global rank is made by range: each task numbers its range and adds the rows of the ranges before it.
+    """
+    votes = F.col("vote_count").desc_nulls_first() if nulls_first else F.col("vote_count").desc_nulls_last()
+    ranged = session.stage(movies.select("id", "vote_count").repartitionByRange(session.shuffle_partitions(movies.sparkSession), votes, "id").withColumn("_p", F.spark_partition_id()), "by-votes")
+    before, total = {}, 0
+    for p, n in sorted((r["_p"], r["count"]) for r in ranged.groupBy("_p").count().collect()):  # a row per task
+        before[p], total = total, total + n
+    if not before:
+        return ranged.select("id", "vote_count", F.lit(0).cast("bigint").alias("rank"))
+    offset = F.create_map(*(F.lit(x) for kv in before.items() for x in kv))[F.col("_p")]
+    place = F.row_number().over(W.partitionBy("_p").orderBy(votes, "id"))
+    return ranged.select("id", "vote_count", (offset + place).cast("bigint").alias("rank"))
+
+
 def page(df: DataFrame, key: str, after: str | int | None, n: int) -> DataFrame:
     """The ``n`` rows after a key, by key: one page of a keyset walk."""
     rest = df if after is None else df.where(F.col(key) > F.lit(after))

@@ -6,13 +6,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinograph import session
 from kinograph.functions.vectors import normalize
 
 #: Centroids that one task holds at a time; more are an error, not a slow plan.
 MOST_CENTROIDS = 100_000
+#: Distances that a task holds at a time.
+BLOCK_CELLS = 4_000_000
 _ASSIGNED = pa.schema([("item_id", pa.string()), ("cluster_id", pa.string()), ("rank", pa.int32()), ("distance", pa.float64())])
 
 
@@ -44,9 +48,10 @@ def assign_nearest(items: DataFrame, key: str, vector: str, names: list[str], ce
         if not len(names):
             return
         squares = (centroids**2).sum(1)
+        at_once = max(1, min(2048, BLOCK_CELLS // len(names)))
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
+            for lo in range(0, batch.num_rows, at_once):
+                part = batch.slice(lo, at_once)
                 x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
                 own = (x**2).sum(1)
                 rough = own[:, None] + squares - 2 * x @ centroids.T
@@ -95,78 +100,145 @@ def recount(members: DataFrame, affected: DataFrame, group: str, name: str = "n"
     return ids.join(counts, group, "left").select(group, F.coalesce(name, F.lit(0)).cast("bigint").alias(name))
 
 
-def component_means(df: DataFrame, group: str, vector: str) -> DataFrame:
-    """(group, pos, mean, n): the mean vector of each group, a row per component; partial sums are made before the shuffle."""
-    return df.select(F.col(group), F.posexplode(vector).alias("pos", "x")).groupBy(group, "pos").agg(F.avg("x").alias("mean"), F.count("*").alias("n"))
+_SUM = "g string, n bigint, v array<double>"
 
 
-def packed_means(means: DataFrame, group: str) -> DataFrame:
-    """``component_means`` as (group, centroid array, n)."""
-    return (
-        means.groupBy(group)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "mean"))).alias("x"), F.max("n").alias("n"))
-        .select(group, F.transform("x", lambda x: x["mean"]).alias("centroid"), "n")
-    )
+def _add_up(batches: Iterable[pa.RecordBatch], most: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Rows (g, n, v) added up by g, in any order; ``most`` groups are held, the others go on as they are.
 
+    Rows of a group that come together give one row as long as no more groups come in one batch.
+    """
+    held: dict[str | None, list] = {}
+
+    def out(keys: list) -> pa.RecordBatch:
+        rows = [held.pop(k) for k in keys]
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], names=["g", "n", "v"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        groups = pc.dictionary_encode(batch.column(0), null_encoding="encode")
+        code, names = groups.indices.to_numpy(), groups.dictionary.to_pylist()
+        x = batch.column(2).flatten().to_numpy(zero_copy_only=False)
+        if len(x) % batch.num_rows or pc.min(pc.list_value_length(batch.column(2))).as_py() * batch.num_rows != len(x):
+            raise ValueError("vectors of different lengths")
+        sums = np.zeros((len(names), len(x) // batch.num_rows))
+        np.add.at(sums, code, x.reshape(batch.num_rows, -1))
+        counts = np.bincount(code, weights=batch.column(1).to_numpy(), minlength=len(names))
+        for i, g in enumerate(names):
+            have = held.setdefault(g, [0, 0.0])
+            have[0] += int(counts[i])
+            have[1] = have[1] + sums[i]
+        if len(held) > most:
+            last = names[code[-1]]
+            yield out([g for g in held if g != last])
+    if held:
+        yield out(list(held))
+
+
+def vector_sums(df: DataFrame, group: str, vector: str) -> DataFrame:
+    """(g string, n, v): rows and sum of the vectors of each group.  A task sends one row a group, which are added up by group; null vectors do not count."""
+    first = df.select(F.col(group).cast("string").alias("g"), F.lit(1).cast("bigint").alias("n"), F.col(vector).alias("v")).where(F.col("v").isNotNull()).mapInArrow(_add_up, _SUM)
+    return first.repartition(session.shuffle_partitions(df.sparkSession), "g").sortWithinPartitions("g").mapInArrow(_add_up, _SUM)
+
+
+def mean_vectors(df: DataFrame, group: str, vector: str) -> DataFrame:
+    """(group, centroid, n): the mean vector of each group; a null group is one."""
+    sums = vector_sums(df, group, vector)
+    return sums.select(F.col("g").cast(dict(df.dtypes)[group]).alias(group), F.transform("v", lambda x: x / F.col("n")).alias("centroid"), "n")
 
-_SUMS = pa.schema([("cluster", pa.int32()), ("n", pa.int64()), ("sums", pa.list_(pa.float64()))])
+
+def component_means(df: DataFrame, group: str, vector: str) -> DataFrame:
+    """``mean_vectors`` as (group, pos, mean, n), a row per component."""
+    return mean_vectors(df, group, vector).select(group, F.posexplode("centroid").alias("pos", "mean"), "n")
+
+
+_ROUND = pa.schema([("g", pa.string()), ("n", pa.int64()), ("v", pa.list_(pa.float64()))])
 
 
 def lloyd(items: DataFrame, vector: str, start: np.ndarray, most_rounds: int = 100, tolerance: float = 0.0) -> tuple[np.ndarray, int]:
     """k-means from given centroids: (centroids, rounds).
 
     Each round is one pass: a task sums its rows per cluster, so k rows a task
-    are shuffled and k rows reach the driver.  A cluster without rows keeps its
-    centroid.  Stops when no centroid moves more than ``tolerance``, which with
-    0 means that no assignment changed the means.  Equal distances: the first
-    centroid.
+    are shuffled and k packed rows reach the driver.  A cluster without rows
+    keeps its centroid.  Stops when no row changes its cluster (each row meets
+    the centroids of the round before too, so nothing is kept between rounds),
+    or when no centroid moves more than ``tolerance``; below 0 neither stops
+    it.  Equal distances: the first centroid.
     """
     rows = items.select(F.col(vector).alias("v")).where(F.size("v") == start.shape[1])
-    centroids = start.astype(float)
+    centroids, before = start.astype(float), None
     for r in range(1, most_rounds + 1):
-        sums, counts = _round(rows, centroids)
+        sums, counts, changed = _round(rows, centroids, before)
+        if before is not None and not changed and tolerance >= 0:
+            return centroids, r - 1
         new = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centroids)
         moved = np.sqrt(((new - centroids) ** 2).sum(1)).max(initial=0.0)
-        centroids = new
+        before, centroids = centroids, new
         if moved <= tolerance:
             return centroids, r
     return centroids, most_rounds
 
 
-def _round(rows: DataFrame, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    at_once = max(1, BLOCK_CELLS // len(centroids))
+    squares = (centroids**2).sum(1)
+    return np.concatenate([(squares - 2 * x[a : a + at_once] @ centroids.T).argmin(1) for a in range(0, len(x), at_once)])
+
+
+def _round(rows: DataFrame, centroids: np.ndarray, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """(sums, counts, rows whose cluster is another than with the centroids ``before``)."""
     k, dim = centroids.shape
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, counts = np.zeros((k, dim)), np.zeros(k, np.int64)
-        squares = (centroids**2).sum(1)
+        sums, counts, changed = np.zeros((k, dim)), np.zeros(k, np.int64), 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                part = batch.slice(lo, 4096)
-                x = part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
-                near = (squares - 2 * x @ centroids.T).argmin(1)
-                np.add.at(sums, near, x)
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                near = _nearest(x, centroids)
+                order = np.argsort(near, kind="stable")
+                used, first = np.unique(near[order], return_index=True)
+                sums[used] += np.add.reduceat(x[order], first, axis=0)
                 counts += np.bincount(near, minlength=k)
+                changed += 0 if before is None else int((near != _nearest(x, before)).sum())
         used = np.flatnonzero(counts)
-        if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used]), pa.array(list(sums[used]), pa.list_(pa.float64()))], schema=_SUMS)
+        names, n, v = [*map(str, used), "changed"], [*counts[used].tolist(), changed], [*sums[used], np.zeros(dim)]
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n, pa.int64()), pa.array(v, pa.list_(pa.float64()))], schema=_ROUND)
+
+    parts = rows.mapInArrow(run, _SUM).repartition(min(k + 1, session.shuffle_partitions(rows.sparkSession)), "g").sortWithinPartitions("g")
+    total = parts.mapInArrow(_add_up, _SUM).toArrow()  # k + 1 rows
+    sums, counts, changed = np.zeros((k, dim)), np.zeros(k), 0
+    for g, n, v in zip(*(total[c].to_pylist() for c in ("g", "n")), total["v"]):
+        if g == "changed":
+            changed = n
+        else:
+            sums[int(g)], counts[int(g)] = v.values.to_numpy(), n
+    return sums, counts, changed
+
+
+def _counts(rows: DataFrame, centroids: np.ndarray) -> np.ndarray:
+    """How many rows are nearest to each centroid."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(centroids), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                counts += np.bincount(_nearest(batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1), centroids), minlength=len(centroids))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(centroids))), pa.array(counts)], names=["c", "n"])
 
-    parts = rows.mapInArrow(run, "cluster int, n bigint, sums array<double>")
-    total = (
-        parts.select("cluster", "n", F.posexplode("sums").alias("pos", "x")).groupBy("cluster", "pos").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect()
-    )  # k * dim rows
-    sums, counts = np.zeros((k, dim)), np.zeros(k)
-    for row in total:
-        sums[row.cluster, row.pos] = row.x
-        counts[row.cluster] = row.n
-    return sums, counts
+    out = np.zeros(len(centroids))
+    for row in rows.mapInArrow(run, "c bigint, n bigint").groupBy("c").agg(F.sum("n").alias("n")).collect():  # a row per centroid
+        out[row.c] = row.n
+    return out
 
 
 def weighted_start(items: DataFrame, key: str, vector: str, k: int, seed: int = 42, oversample: int = 2, rounds: int = 5) -> np.ndarray:
     """k starting centroids, far apart with high probability: each round every row is drawn with a chance in proportion to its
     squared distance from those drawn so far; the draws, weighted by the rows nearest to them, are then thinned to k the same way.
 
-    The chance of a row comes from a hash of its key, so the draw does not depend on the layout.  The driver holds about
-    k * oversample * rounds vectors.  This is the distributed form of drawing one centroid after the other.
+    The chance of a row comes from a hash of its key, so the draw does not depend on the layout.  The draws of a round are
+    k * oversample by expectation, whatever the number of rows; all of them are taken.  This is the distributed form of
+    drawing one centroid after the other.
     """
     rows = items.select(F.col(key).cast("string").alias("k"), F.col(vector).alias("v")).where(F.col("v").isNotNull())
     first = rows.orderBy(F.xxhash64(F.lit(seed), "k"), "k").limit(1).collect()
@@ -178,28 +250,33 @@ def weighted_start(items: DataFrame, key: str, vector: str, k: int, seed: int =
 
         def distances(batches: Iterable[pa.RecordBatch], current: np.ndarray = current) -> Iterator[pa.RecordBatch]:
             squares = (current**2).sum(1)
+            at_once = max(1, BLOCK_CELLS // len(current))
             for batch in batches:
-                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                d2 = np.maximum((x**2).sum(1) + (squares - 2 * x @ current.T).min(1), 0) if batch.num_rows else np.zeros(0)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d2)], names=["k", "v", "d2"])
+                for lo in range(0, batch.num_rows, at_once):
+                    part = batch.slice(lo, at_once)
+                    x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                    d2 = np.maximum((x**2).sum(1) + (squares - 2 * x @ current.T).min(1), 0)
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(d2)], names=["k", "v", "d2"])
 
         far = rows.mapInArrow(distances, "k string, v array<double>, d2 double")
         total = far.agg(F.sum("d2")).first()[0] or 0.0
         if total <= 1e-12:
             break
         chance = F.pmod(F.xxhash64(F.lit(seed + r + 1), "k"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        drawn = far.where(chance < F.col("d2") * F.lit(oversample * k / total)).orderBy("k").limit(4 * oversample * k).collect()
+        drawn = far.where(chance < F.col("d2") * F.lit(oversample * k / total)).collect()
         if drawn:
-            chosen = np.concatenate([chosen, np.array([d.v for d in drawn])])
+            chosen = np.concatenate([chosen, np.array([d.v for d in sorted(drawn, key=lambda d: d.k)])])
     if len(chosen) <= k:
         return chosen
-    _, weight = _round(rows.select("v"), chosen)
+    weight = _counts(rows.select("v"), chosen)
     rng = np.random.default_rng(seed)
     picked = [int(weight.argmax())]
     d2 = ((chosen - chosen[picked[0]]) ** 2).sum(1)
     while len(picked) < k:
         p = d2 * np.maximum(weight, 1e-9)
-        picked.append(int(rng.choice(len(chosen), p=p / p.sum())) if p.sum() > 0 else len(picked))
+        p[picked] = 0
+        left = np.setdiff1d(np.arange(len(chosen)), picked)
+        picked.append(int(rng.choice(len(chosen), p=p / p.sum())) if p.sum() > 0 else int(left[0]))
         d2 = np.minimum(d2, ((chosen - chosen[picked[-1]]) ** 2).sum(1))
     return chosen[picked]
 

@@ -36,6 +36,11 @@ def people_last_wins(rows: DataFrame, image_base: str = "") -> DataFrame:
     return last.select("tmdb_person_id", "name", "profile_path", prefixed(F.col("profile_path"), image_base + "w185").alias("profile_url"), "known_for_department", "popularity")
 
 
+def by_person(rows: DataFrame, people: DataFrame, key: str = "tmdb_person_id", column: str = "person_id") -> DataFrame:
+    """``rows`` with the people table's own ``column``; a credit of a person that it does not have is left out, and repeated people do not repeat credits."""
+    return rows.join(people.where(F.col(column).isNotNull()).groupBy(key).agg(F.min(column).alias(column)), key)
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """``target`` with the rows of ``source``: equal keys are replaced, new ones added; columns only ``target`` has are kept.
 

@@ -38,6 +38,26 @@ def _not_json(name: str) -> None:
     raise ValueError(f"{name} is not JSON")
 
 
+class _Digits(str):
+    """A whole number of more digits than Python makes a number of, kept as it is written."""
+
+
+_KINDS[_Digits] = "int"
+
+
+def _whole(text: str) -> Any:
+    return int(text) if len(text) < 4000 else _Digits(text)
+
+
+def _loads(text: str) -> Any:
+    try:
+        return json.loads(text, parse_constant=_not_json)
+    except json.JSONDecodeError:
+        raise
+    except ValueError:  # NaN, or a number of very many digits
+        return json.loads(text, parse_constant=_not_json, parse_int=_whole)
+
+
 def _parse_deep(text: str) -> Any:
     """``json.loads`` with a stack of its own, for replies that nest beyond the recursion limit."""
     holder: list = []
@@ -76,7 +96,7 @@ def _parse_deep(text: str) -> Any:
             continue
         if want not in ("value", "first") or mark in (":", ",", "}", "]"):
             raise ValueError(f"unexpected {mark or string or other}")
-        made = {} if mark == "{" else [] if mark == "[" else json.loads(string or other)
+        made = {} if mark == "{" else [] if mark == "[" else _loads(string or other)
         if isinstance(top, dict):
             top[key] = made
         else:
@@ -91,10 +111,10 @@ def parse(payload: str | None) -> tuple[bool, Any]:
     """(valid, value) of a reply; a JSON string that holds JSON is read once more."""
     value: Any = payload
     for _ in range(2):
-        if not isinstance(value, str):
+        if not isinstance(value, str) or isinstance(value, _Digits):
             break
         try:
-            value = json.loads(value, parse_constant=_not_json)
+            value = _loads(value)
         except RecursionError:
             try:
                 value = _parse_deep(value)
@@ -119,7 +139,7 @@ def _nodes(value: Any) -> Iterator[tuple[int, int, str | None, int | None, str,
             stack.extend((x, node, None, i) for i, x in enumerate(v))
         else:
             kind = _KINDS[type(v)]
-            yield node, parent, label, ordinal, kind, None if v is None else v if kind == "str" else json.dumps(v)
+            yield node, parent, label, ordinal, kind, None if v is None else v if isinstance(v, str) else json.dumps(v)
         node += 1
 
 
@@ -139,7 +159,7 @@ def shred(df: DataFrame, record: str, payload: str, scalars: Sequence[str] | Non
     * null, empty or not wholly valid JSON (NaN and Infinity are not JSON): no node;
     * a JSON string that holds JSON is read once more; one that does not is one node;
     * of a key that an object repeats, the last value counts;
-    * nesting beyond Python's recursion limit is read with an explicit stack;
+    * nesting beyond Python's recursion limit is read with an explicit stack; whole numbers of any length are kept;
     * a record that comes twice gives its nodes twice: make ``record`` a key first;
     * other columns are not read.
     """
@@ -238,6 +258,12 @@ def credit_entities(nodes: DataFrame) -> DataFrame:
     )
 
 
+def links(nodes: DataFrame) -> DataFrame:
+    """Every node with its parent's label and kind, which are null at a root: the parent-child links followed once."""
+    up = nodes.select("record", F.col("node").alias("parent"), F.col("label").alias("parent_label"), F.col("kind").alias("parent_kind"))
+    return nodes.join(up, ["record", "parent"], "left").select("record", "parent_label", "parent_kind", "label", "ordinal", "kind", "scalar")
+
+
 def trimmed(text: F.Column) -> F.Column:
     """Without outer white space of any kind; null becomes the empty string."""
     return F.coalesce(F.regexp_replace(text, f"^{SPACE_CLASS}|{SPACE_CLASS}$", ""), F.lit(""))

@@ -22,8 +22,6 @@ CREDITS = f"cast array<struct<{_PERSON},character:string,`order`:int>>, crew arr
 #: One reply of an embedding service.
 EMBEDDINGS = "data array<struct<embedding:array<double>,index:int>>"
 
-CLUSTERS = "id string, label string, centroid array<double>, film_count bigint, avg_vote_count double"
-ASSIGNMENTS = "movie_id string, cluster_id string, rank int, distance double"
-NEIGHBOURS = "source_movie_id string, recommendation_type string, rnk int, neighbor_movie_id string, score double"
-PEOPLE = "tmdb_person_id bigint, name string, profile_path string, profile_url string, known_for_department string, popularity double"
+#: Only the companies of a movie's detail reply.
+COMPANIES = "id bigint, production_companies array<struct<name:string>>"
 RUNS = "run_id string, run_type string, status string, started_at timestamp, finished_at timestamp, rows_processed bigint, rows_failed bigint, error_message string"

@@ -60,12 +60,17 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     driver's Python ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinograph-{name}-{uuid.uuid4().hex}"
+    path = temporary(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinograph-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def temporary(spark: SparkSession, path: str) -> str:
+    """``path``, which is removed with all in it when the driver's Python ends."""
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

@@ -99,3 +99,21 @@ def test_own_parser_rejects_what_json_rejects(text):
     except ValueError:
         got = ValueError
     assert got == want
+
+
+def test_whole_numbers_of_very_many_digits(spark, rows):
+    long = "9" * 5000
+    deep = '{"x":' + "[" * 3000 + long + "]" * 3000 + ',"cast":[{"id":6}]}'
+    payloads = [(1, f'{{"budget":{long},"cast":[{{"id":5,"character":"A"}},{{"id":{long}}}]}}'), (2, long), (3, deep), (4, f'{{"a":{long},"b":NaN}}'), (5, f'{{"a":{long}')]
+    df = spark.createDataFrame(payloads, "fetch_id bigint, payload string")
+    nodes = nested.shred(df, "fetch_id", "payload")
+    assert rows(nested.credit_entities(nodes), "record", "pos", "tmdb_person_id", "role_name") == [(1, 0, 5, "A"), (3, 0, 6, "")]
+    assert rows(nodes.where("length(scalar) = 5000"), "record", "kind", "scalar") == sorted([(1, "int", long), (1, "int", long), (2, "int", long), (3, "int", long)])
+    assert not nodes.where("record in (4, 5)").count()
+
+
+def test_links(spark, rows):
+    nodes = nested.shred(spark.createDataFrame([(1, '{"a":[{"b":1}]}')], "fetch_id bigint, payload string"), "fetch_id", "payload")
+    assert rows(nested.links(nodes), "parent_label", "parent_kind", "label", "ordinal", "kind") == sorted(
+        [(None, None, None, None, "object"), (None, "object", "a", None, "array"), ("a", "array", None, 0, "object"), (None, "object", "b", None, "int")], key=repr
+    )

@@ -66,6 +66,55 @@ def recovered(pairs):
     return len({frozenset(i for i, c in pairs if c == k) for k in {c for _, c in pairs}}), {c for _, c in pairs}
 
 
+def test_mean_vectors(spark, rows):
+    df = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [3.0, 4.0]), (None, [5.0, 6.0]), ("b", None)], "g string, v array<double>")
+    assert rows(clustering.mean_vectors(df, "g", "v")) == sorted([("a", [2.0, 3.0], 2), (None, [5.0, 6.0], 1)], key=repr)
+    assert clustering.mean_vectors(df.limit(0), "g", "v").count() == 0
+    with pytest.raises(Exception, match="different lengths"):
+        clustering.mean_vectors(spark.createDataFrame([("a", [1.0]), ("a", [3.0, 4.0])], "g string, v array<double>").coalesce(1), "g", "v").collect()
+
+
+def test_sums_of_more_groups_than_are_held():
+    import pyarrow as pa
+
+    names = [f"g{i % 40}" for i in range(400)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(names[a : a + 50]), pa.array([1] * 50), pa.array([[float(i)] for i in range(a, a + 50)])], names=["g", "n", "v"]) for a in range(0, 400, 50)]
+    total = {}
+    for batch in clustering._add_up(batches, most=7):
+        for g, n, v in zip(*(c.to_pylist() for c in batch.columns)):
+            m, x = total.get(g, (0, 0.0))
+            total[g] = m + n, x + v[0]
+    assert total == {f"g{k}": (10, sum(range(k, 400, 40))) for k in range(40)}
+
+
+def test_start_never_repeats_a_row(spark):
+    same = spark.createDataFrame([(str(i), [float(i % 4), 0.0]) for i in range(60)], "id string, v array<double>")
+    start = clustering.weighted_start(same, "id", "v", 4)
+    assert len(start) <= 4 and len(np.unique(start, axis=0)) == len(start)
+
+
+def test_lloyd_stops_when_no_row_moves(spark):
+    df = blobs(spark)
+    start = np.eye(3, 8) * 9
+    centroids, rounds = clustering.lloyd(df, "v", start, 50)
+    assert rounds <= 3
+    again, _ = clustering.lloyd(df, "v", start, 5, -1.0)
+    assert np.allclose(centroids, again)
+
+
+def test_by_votes(spark, rows):
+    df = spark.createDataFrame([("a", 5), ("b", None), ("c", 9), ("d", 5)], "id string, vote_count int")
+    assert [r[2] for r in rows(catalog.by_votes(df), "rank", "vote_count", "id")] == ["b", "c", "a", "d"]
+    assert [r[1] for r in rows(catalog.by_votes(df, nulls_first=False), "rank", "id")] == ["c", "a", "d", "b"]
+    assert catalog.by_votes(df.limit(0)).count() == 0
+
+
+def test_one_row_of_a_movie_is_always_the_same(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 1, None)], "id string, vote_count int, title string")
+    for order in (F.col("title"), F.desc("title")):
+        assert catalog.movies_once(df.orderBy(order).coalesce(1)).first().title == "y"
+
+
 def test_three_blobs_own_and_mllib(spark):
     df = blobs(spark)
     truth = dict(df.select("id", "blob").collect())
@@ -187,6 +236,23 @@ def test_net_in_blocks_is_exact(spark, rows):
     assert one == want
 
 
+def test_rails_are_those_of_one_rail_after_the_other(spark):
+    df = rail_movies(spark, 90, 5)
+    rows_of = {r.id: (np.array(r.vector), r.vote_count) for r in df.collect()}
+    taken, want = {s: [] for s in rows_of}, []
+    for rail in rails.RAILS:
+        for s, (q, _) in rows_of.items():
+            cand = sorted(c for c, (_, v) in rows_of.items() if c != s and v >= 200 and (rail != "hidden_gem" or v < 600))
+            m = np.array([rows_of[c][0] for c in cand])
+            score = rails._scores(rail, q[None], m, q[None] @ m.T, P)[0]
+            ranked = sorted((-round(float(x), 9), c) for x, c in zip(score, cand) if np.isfinite(x))[: P.net_size]
+            for k, (x, c) in enumerate([r for r in ranked if r[1] not in taken[s]][: P.top_k]):
+                want.append((s, rail, k + 1, c, -x))
+            taken[s] += [c for a, r, _, c, _ in want if a == s and r == rail]
+    got = [(r.source_id, r.rail, r["rank"], r.neighbour_id, r.score) for r in rails.rails(df, P).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_incomplete(spark, rows):
     scored = spark.createDataFrame([("full",), ("one rail",), ("none",)], "id string")
     n = [("full", r) for r in rails.RAILS[2:] for _ in range(10)] + [("one rail", "darker_pick")] * 10 + [(None, "darker_pick")]

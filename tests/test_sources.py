@@ -1,4 +1,7 @@
 import json
+import os
+import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +48,20 @@ def test_retry():
         landed.with_retry(call, tries=2, sleep=waits.append)([1])
 
 
+def test_a_call_that_hangs_is_given_up():
+    with pytest.raises(TimeoutError):
+        landed.within(lambda _: time.sleep(30), 0.05)([1])
+    assert landed.within(lambda x: x, 5)([1]) == [1]
+    with pytest.raises(landed.Busy):
+        landed.within(lambda _: (_ for _ in ()).throw(landed.Busy()), 5)([1])
+
+
+def test_landed_by_folder(spark, rows, tmp_path):
+    df = landed.landed(spark.createDataFrame([(1, "a"), (2, "b")], "y int, x string"), str(tmp_path / "p"), "y")
+    assert rows(df.where("y = 2"), "x") == [("b",)]
+    assert "PartitionFilters: [isnotnull(y" in df.where("y = 2")._jdf.queryExecution().toString()
+
+
 def test_pulled(spark, rows):
     df = spark.createDataFrame([("a",), ("bb",), ("ccc",)], "k string")
     got = landed.pulled(df, "k", lambda xs: [[float(len(x))] for x in xs], "array<double>", batch=2, concurrency=2)
@@ -64,6 +81,77 @@ def test_versioned_table(spark, rows, tmp_path):
     assert rows(sinks.read(spark, path)) == [(3, "c")]
 
 
+def test_a_writer_that_dies_changes_nothing(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id int, x string")
+    sinks.replace(old, path)
+    steps = ["write the version", "write the draft", "move the draft", "remove older pointers"]
+    for step in range(4):
+        table = f"{path}{step}"
+        shutil.copytree(path, table)
+        died = RuntimeError(steps[step])
+        with pytest.MonkeyPatch.context() as patch:
+            real = sinks._fs
+
+            class Dying:
+                def __init__(self, fs):
+                    self.fs = fs
+
+                def __getattr__(self, name):
+                    if name == ["create", "create", "rename", "delete"][step]:
+                        if step == 1:
+                            self.fs.create(real(spark, f"{table}/_draft-half")[1], True).close()
+                        raise died
+                    return getattr(self.fs, name)
+
+            patch.setattr(sinks, "_fs", lambda s, p: (*real(s, p)[:2], Dying(real(s, p)[2])))
+            if step < 3:
+                with pytest.raises(RuntimeError, match=steps[step]):
+                    sinks.merge(spark.createDataFrame([(3, "c")], "id int, x string"), table, "id")
+            else:  # the new table stands already
+                sinks.merge(spark.createDataFrame([(3, "c")], "id int, x string"), table, "id")
+        want = [(1, "a"), (2, "b")] + ([(3, "c")] if step == 3 else [])
+        assert rows(sinks.read(spark, table)) == want
+        sinks.merge(spark.createDataFrame([(4, "d")], "id int, x string"), table, "id")
+        assert rows(sinks.read(spark, table)) == [*want, (4, "d")]
+
+
+def test_versions_without_a_pointer_are_an_error(spark, tmp_path):
+    path = str(tmp_path / "t")
+    one = spark.createDataFrame([(1, "a")], "id int, x string")
+    sinks.replace(one, path)
+    for name in os.listdir(path):
+        if "_at-" in name:
+            os.remove(f"{path}/{name}")
+    for call in (lambda: sinks.merge(one, path, "id"), lambda: sinks.read(spark, path), lambda: sinks.replace(one, path)):
+        with pytest.raises(OSError, match="no pointer"):
+            call()
+
+
+def test_two_writers(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    one = spark.createDataFrame([(1, "a")], "id int, x string")
+    sinks.replace(one, path)
+    sinks.replace(one, path)
+    with pytest.raises(OSError, match="another writer"):
+        sinks.replace(one.limit(0), path, expected=1)
+    assert rows(sinks.read(spark, path)) == [(1, "a")]
+
+
+def test_new_ids(spark, rows):
+    first = sinks.with_new_ids(spark.createDataFrame([("b", 1), ("d", 2)], "k string, x int"), None, "k", "id")
+    assert rows(first, "k", "id") == [("b", 1), ("d", 2)]
+    then = sinks.with_new_ids(spark.createDataFrame([("a", 1), ("d", 2), ("c", 3)], "k string, x int"), first, "k", "id")
+    assert rows(then, "k", "id") == [("a", 3), ("c", 4), ("d", 2)]
+    assert sinks.with_new_ids(first.select("k").limit(0), first, "k", "id").count() == 0
+
+
+def test_counted(spark, tmp_path):
+    rows, count = sinks.counted(spark.range(10), F.col("id") > 6)
+    rows.write.parquet(str(tmp_path / "x"))
+    assert count() == (7, 3)
+
+
 def test_rails_by_partition(spark, rows, tmp_path):
     path = str(tmp_path / "n")
     sinks.write_rails(spark.createDataFrame([("a", "r1"), ("b", "r2")], "source_movie_id string, recommendation_type string"), path)
