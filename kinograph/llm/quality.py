@@ -16,33 +16,126 @@ import re
 import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kinograph.llm.topn import top_n_per_group
-
 FORMS = ("prose", "list", "table", "junk")
 
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _TAG = re.compile(r"<[^<>]*>")
 _MARK = re.compile(r"\s*(?:[-*+•·–—>]\s|\[[ xX]?\]\s|\(?\d{1,4}[.)\]:]\s|\(?[a-zA-Z][.)]\s|[A-Z][a-z]{0,2}\.\s*\d+\s|#)")
 _SPOKEN = re.compile(r"\s*[-–—]\s")
-#: Dots or dashes that lead to a short entry at the line's end.
-_LEADER = re.compile(r"(?:\.{3,}+|…{2,}+|_{3,}+|-{4,}+)\s*+\S++(?:\s++\S++){0,3}+\s*+$")
+#: Dots or dashes that lead to a short entry: inside of a piece, which goes on after them, and at its end.  A run is met once, at its first character, so that time is linear.
+_LEADS_ON = re.compile(r"(?:(?<!\.)\.{3,}+|(?<!…)…{2,}+|(?<!_)_{3,}+|(?<!-)-{4,}+)\S")
+_LEADS = re.compile(r"(?:\.{3}|…{2}|_{3}|-{4})\Z")
 _FIELD = re.compile(r"^\s*[^\s:,.]{1,20}(?: [^\s:,.]{1,20})?\s?[:=]\s*\S")
-_GAP = re.compile(r"\S {2,}(?=\S)")
 _LONG_CONSONANTS = re.compile(r"[bcdfghjklmnpqrstvwxz]{4,}", re.IGNORECASE)
 #: The vowels of Latin script.
 VOWELS = "aeiouyàâäáãåæéèêëíìîïóòôöõøœúùûüýÿ"
-_ENDS = re.compile(r"[.!?…][\"'”’»)\]]*\s*$|[\"”»]\s*$")
-_INNER = re.compile(r"[.!?;:][\"'”’»)]*\s+\S")
-_SEPARATOR = re.compile(r"[,;|•·/\t]+|\s[-–—]\s")
+_INNER = re.compile(r"[.!?;:][\"'”’»)]*+\s++\S")
 _NUMBER = re.compile(r"(?<!\S)[-+]?(?=[.,:%$€]*+\d)[\d.,:%$€]++(?!\S)")
-_TIGHT_COMMA = re.compile(r",\S")
+_SHAPE = re.compile(r"[^\W\d_]++|\d++|\s++|(.)\1*+", re.DOTALL)
+
+# What a character is, as bits.
+_DIGIT, _UPPER, _BLANK, _SPACE, _HIGH, _ODD, _VOWEL, _ALNUM, _APOSTROPHE, _COMMA, _SEMICOLON, _TAB, _PIPE, _PART, _DASH, _SOLID = (1 << i for i in range(16))
+
+
+class _Characters:
+    """The bits of each code point, looked up when it is first met."""
+
+    def __init__(self) -> None:
+        self.bits = np.zeros(0x110000, np.int32)
+        self.known = np.zeros(0x110000, bool)
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        new = codes[~self.known[codes]]
+        if len(new):
+            for code in np.unique(new).tolist():
+                ch = chr(code)
+                self.known[code] = True
+                self.bits[code] = (
+                    ("0" <= ch <= "9") * _DIGIT | ch.isupper() * _UPPER | (ch == " ") * _BLANK | ch.isspace() * _SPACE
+                    | ("\x80" <= ch <= "\xbf" or ch in "ÃÂâï€™œ�") * _HIGH | (ch > "~" and unicodedata.category(ch) in ("So", "Sk", "Cn", "Co", "Cc")) * _ODD
+                    | (ch.lower() in VOWELS) * _VOWEL | ch.isalnum() * _ALNUM | (ch in "'’") * _APOSTROPHE | (ch == ",") * _COMMA | (ch == ";") * _SEMICOLON
+                    | (ch == "\t") * _TAB | (ch == "|") * _PIPE | (ch in ",;|•·/\t") * _PART | (ch in "-–—") * _DASH | (not ch.isspace()) * _SOLID
+                )
+        return self.bits[codes]
+
+
+class _Block:
+    """Lines laid end to end as the bits of their characters, each line with an end mark of no bits."""
+
+    def __init__(self, lines: Sequence[str], characters: _Characters) -> None:
+        self.text = "\n".join(lines) + "\n"
+        self.bits = characters(np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32))
+        self.starts = np.concatenate([[0], np.cumsum([len(x) + 1 for x in lines])[:-1]]) if lines else np.zeros(0, np.int64)
+        if lines:
+            self.bits[self.starts[1:] - 1] = 0
+            self.bits[-1] = 0
+
+    def per_line(self, mask: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(mask, self.starts, dtype=np.int64)
+
+    def count(self, bit: int) -> np.ndarray:
+        return self.per_line(self.bits & bit != 0)
+
+    def is_(self, bit: int) -> np.ndarray:
+        return self.bits & bit != 0
+
+    def line_of(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, places, side="right") - 1
+
+    def words(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(words, the line of each, the length of each): maximal runs of letters and digits, apostrophes between them included."""
+        alnum = self.is_(_ALNUM)
+        inside = alnum.copy()
+        inside[1:-1] |= self.is_(_APOSTROPHE)[1:-1] & alnum[:-2] & alnum[2:]
+        edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=np.int8(0)))  # the last character is an end mark
+        starts, ends = edges[::2], edges[1::2]
+        return _WORD.findall(self.text), self.line_of(starts), ends - starts
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray]:
+        """(number of entries, most blanks in one) of each line: what separators leave that is not blank."""
+        space, dash = self.is_(_SPACE), self.is_(_DASH)
+        part = self.is_(_PART)
+        part[1:-1] |= dash[1:-1] & space[:-2] & space[2:]
+        first = np.zeros(len(part), bool)
+        first[self.starts] = True
+        first[1:] |= part[:-1] & ~part[1:]
+        first &= ~part
+        runs = np.flatnonzero(first)
+        entries, most = np.zeros(len(self.starts), np.int64), np.zeros(len(self.starts), np.int64)
+        if len(runs):
+            solid = np.add.reduceat(self.is_(_SOLID) & ~part, runs, dtype=np.int64)
+            blanks = np.add.reduceat(self.is_(_BLANK), runs, dtype=np.int64)
+            keep = solid > 0
+            line = self.line_of(runs)[keep]
+            np.add.at(entries, line, 1)
+            np.maximum.at(most, line, blanks[keep])
+        return entries, most
+
+
+def _leads(line: str) -> bool:
+    """Whether dots or dashes lead to one to four pieces at the line's end."""
+    if "..." not in line and "……" not in line and "___" not in line and "----" not in line:
+        return False
+    for after, piece in enumerate(reversed(line.rsplit(None, 5)[-5:])):
+        if (after <= 3 and _LEADS_ON.search(piece)) or (1 <= after <= 4 and _LEADS.search(piece)):
+            return True
+    return False
+
+
+def _ends_sentence(line: str) -> bool:
+    """Whether a line ends in a full stop or its like, closing marks after it allowed, or in a quotation mark."""
+    end = line.rstrip()
+    return end[-1:] in ('"', "”", "»") or end.rstrip("\"'”’»)]")[-1:] in (".", "!", "?", "…")
+
 
 #: The line statistics, in the order of ``line_statistics``.
 STATISTICS = (
@@ -78,97 +171,103 @@ class _WordKinds(dict):
         return kind
 
 
-_WITH_BIT = {bit: bytes(k for k in range(32) if k & bit) for bit in (1, 2, 4, 8, 16)}
-
-
 def _skeleton(line: str) -> str:
-    """The shape of a line's start: letters, digits and spaces by kind, other characters as they are."""
+    """The shape of a line's start: its first four runs, of letters, digits or spaces by kind, of another character as it is."""
     out = []
-    last = ""
-    for ch in line[:24]:
-        c = "a" if ch.isalpha() else "0" if ch.isdigit() else " " if ch.isspace() else ch
-        if c != last:
-            out.append(c)
-            last = c
-            if len(out) == 4:
-                break
+    for run in islice(_SHAPE.finditer(line), 4):
+        ch = line[run.start()]
+        out.append(ch if run.lastindex else "a" if ch.isalpha() else " " if ch.isspace() else "0")
     return "".join(out)
 
 
-def line_statistics(lines: Sequence[str], kinds: _WordKinds) -> tuple[list[tuple], list[tuple]]:
-    """For each of a document's non-blank lines its STATISTICS, and (words, letters in words, common words, ends a sentence)."""
-    out, sums = [], []
+def line_statistics(docs: Sequence[Sequence[str]], kinds: _WordKinds, characters: _Characters) -> tuple[np.ndarray, np.ndarray]:
+    """The STATISTICS of the non-blank lines of some documents, a row per line, and (words, letters in words, common words, ends a sentence)."""
+    lines = [x for doc in docs for x in doc]
+    if not lines:
+        return np.zeros((0, len(STATISTICS)), np.float32), np.zeros((0, 4), np.int64)
+    whole = _Block(lines, characters)
+    tags = np.array([x.count("<") for x in lines])
+    tagged = np.flatnonzero(tags).tolist()
+    bare_lines, pieces = list(lines), list(lines)
+    for i in tagged:
+        bare_lines[i], pieces[i] = _TAG.sub(" ", lines[i]), _TAG.sub("|", lines[i])
+    bare, piece = (_Block(bare_lines, characters), _Block(pieces, characters)) if tagged else (whole, whole)
+
+    n = np.array([len(x) for x in lines])
+    words, word_line, word_size = bare.words()
+    kind = np.fromiter(map(kinds.__getitem__, words), np.int64, len(words))
+    w = np.bincount(word_line, minlength=len(lines))
+    m = np.maximum(w, 1)
+    per_word = lambda x: np.bincount(word_line, weights=x, minlength=len(lines))
+    letters = per_word(word_size)
+    of_kind = {bit: per_word(kind & bit != 0) for bit in (1, 2, 4, 8, 16)}
+    longest = np.zeros(len(lines), np.int64)
+    np.maximum.at(longest, word_line, word_size)
+    cuts = np.concatenate([[0], np.cumsum(w)]).tolist()
+    distinct = np.array([len(set(words[a:b])) for a, b in zip(cuts, cuts[1:])])
+    entries, most_blanks = piece.entries()
+
+    spaces, digits, semicolons, commas = whole.count(_BLANK), whole.count(_DIGIT), bare.count(_SEMICOLON), bare.count(_COMMA)
+    comma = bare.is_(_COMMA)
+    tight = bare.per_line(np.concatenate([comma[:-1] & bare.is_(_SOLID)[1:], [False]])) if commas.any() else commas
+    blank = whole.is_(_BLANK)
+    # a gap: something, two blanks or more, something
+    gaps = np.zeros(len(lines))
+    if "  " in whole.text:
+        gaps = whole.per_line(np.concatenate([[False, False], blank[1:-1] & blank[:-2] & whole.is_(_SOLID)[2:]]))
+        gaps = gaps - np.array([x[0].isspace() and x[: len(x) - len(x.lstrip())].endswith("  ") for x in lines])
+    bare_solid = bare.per_line(~bare.is_(_BLANK)) - 1  # without the end mark
     shapes = [_skeleton(x) for x in lines]
-    lengths = [len(x) for x in lines]
-    kind = kinds.__getitem__
-    for i, line in enumerate(lines):
-        n = len(line)
-        tags = line.count("<")
-        bare = _TAG.sub(" ", line) if tags else line
-        words = _WORD.findall(bare)
-        w = len(words)
-        m = w or 1
-        sizes = list(map(len, words))
-        letters = sum(sizes)
-        bits = bytes(map(kind, words))
-        share = {b: (w - len(bits.translate(None, members))) for b, members in _WITH_BIT.items()}
-        digits = sum(map(line.count, "0123456789"))
-        spaces = line.count(" ")
-        low = bare.lower()
-        if line.isascii():
-            high = other = 0
-            vowels = sum(map(low.count, "aeiouy"))
-        else:
-            high = sum("\x80" <= ch <= "\xbf" or ch in "ÃÂâï€™œ�" for ch in line)
-            other = sum(unicodedata.category(ch) in ("So", "Sk", "Cn", "Co", "Cc") for ch in line if ch > "~")
-            vowels = sum(map(low.count, VOWELS))
-        entries = [x for x in _SEPARATOR.split(_TAG.sub("|", line) if tags else line) if x and not x.isspace()] or [""]
-        ends = _ENDS.search(bare[-100:]) is not None
-        out.append(
-            (
-                math.log1p(n) / 5,
-                math.log1p(w) / 4,
-                min(letters / m, 20) / 8,
-                share[1] / m,
-                letters / n,
-                digits / n,
-                max(0, n - letters - spaces) / n,
-                other / n,
-                high / n,
-                spaces / n,
-                sum(map(str.isupper, line)) / max(1, letters),
-                share[2] / m,
-                share[4] / m,
-                len(set(words)) / m,
-                min(1.0, len(_NUMBER.findall(bare)) / m),
-                share[8] / m,
-                vowels / max(1, letters),
-                1 - len(bare.replace(" ", "")) / max(1, n - spaces) if tags else 0,
-                min(1.0, 20 * tags / n),
-                ends,
-                min(3, len(_INNER.findall(bare))) / 3,
-                min(1.0, bare.count(",") / m),
-                _MARK.match(line) is not None,
-                _SPOKEN.match(line) is not None,
-                _FIELD.match(line) is not None,
-                n <= 1000 and _LEADER.search(line) is not None,
-                min(3, len(_GAP.findall(line))) / 3 if "  " in line else 0,
-                min(3, line.count("\t")) / 3,
-                min(3, line.count("|")) / 3,
-                min(1.0, len(_TIGHT_COMMA.findall(bare)) / m) if "," in bare else 0,
-                line[0].isspace(),
-                share[16] / m,
-                i > 0 and shapes[i] == shapes[i - 1],
-                i + 1 < len(lines) and shapes[i] == shapes[i + 1],
-                i > 0 and abs(lengths[i] - lengths[i - 1]) <= 0.1 * lengths[i],
-                min(max(sizes, default=0), 80) / 40,
-                min(w / len(entries), 20) / 10,
-                min(max(x.count(" ") for x in entries) if w else 0, 30) / 10,
-                min(1.0, bare.count(";") / m),
-            )
-        )
-        sums.append((w, letters, share[4], ends))
-    return out, sums
+    doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    same_doc = doc[1:] == doc[:-1]
+    same = np.array([a == b for a, b in zip(shapes, shapes[1:])], bool) & same_doc
+    close = (np.abs(n[1:] - n[:-1]) <= 0.1 * n[1:]) & same_doc
+    no = np.array([False])
+    ends = np.array([_ends_sentence(x) for x in bare_lines])
+    numbers = np.array([len(_NUMBER.findall(x)) if d else 0 for x, d in zip(bare_lines, digits.tolist())])
+    by_line = lambda f: np.array([f(x) for x in lines])
+    columns = (
+        np.log1p(n) / 5,
+        np.log1p(w) / 4,
+        np.minimum(letters / m, 20) / 8,
+        of_kind[1] / m,
+        letters / n,
+        digits / n,
+        np.maximum(0, n - letters - spaces) / n,
+        whole.count(_ODD) / n,
+        whole.count(_HIGH) / n,
+        spaces / n,
+        whole.count(_UPPER) / np.maximum(1, letters),
+        of_kind[2] / m,
+        of_kind[4] / m,
+        distinct / m,
+        np.minimum(1.0, numbers / m),
+        of_kind[8] / m,
+        bare.count(_VOWEL) / np.maximum(1, letters),
+        np.where(tags > 0, 1 - bare_solid / np.maximum(1, n - spaces), 0),
+        np.minimum(1.0, 20 * tags / n),
+        ends,
+        np.array([min(3, len(_INNER.findall(x))) for x in bare_lines]) / 3,
+        np.minimum(1.0, commas / m),
+        by_line(lambda x: _MARK.match(x) is not None),
+        by_line(lambda x: _SPOKEN.match(x) is not None),
+        by_line(lambda x: _FIELD.match(x) is not None),
+        by_line(_leads),
+        np.minimum(3, gaps) / 3,
+        np.minimum(3, whole.count(_TAB)) / 3,
+        np.minimum(3, whole.count(_PIPE)) / 3,
+        np.minimum(1.0, tight / m),
+        whole.is_(_SPACE)[whole.starts],
+        of_kind[16] / m,
+        np.concatenate([no, same]),
+        np.concatenate([same, no]),
+        np.concatenate([no, close]),
+        np.minimum(longest, 80) / 40,
+        np.minimum(w / np.maximum(1, entries), 20) / 10,
+        np.where(w > 0, np.minimum(most_blanks, 30), 0) / 10,
+        np.minimum(1.0, semicolons / m),
+    )
+    return np.column_stack(columns).astype(np.float32), np.column_stack([w, letters, of_kind[4], ends]).astype(np.int64)
 
 
 @dataclass
@@ -237,33 +336,36 @@ class LineModel:
     log_move: np.ndarray
     common: frozenset[str]
 
-    def states(self, likelihood: np.ndarray, allowed: Sequence[int] | None = None) -> np.ndarray:
-        """The most probable states of a document's lines (Viterbi); ``allowed`` restricts them."""
-        n, k = likelihood.shape
+    def states(self, likelihood: np.ndarray, lengths: Sequence[int], allowed: np.ndarray | None = None) -> np.ndarray:
+        """The most probable states (Viterbi) of the lines of documents that lie end to end, ``lengths`` lines each; ``allowed`` tells the states each line may have.
+
+        All documents go on together, line by line; the longer ones are left when the shorter have ended.
+        """
+        lengths = np.asarray(lengths)
         if allowed is not None:
-            bar = np.full(k, -1e9)
-            bar[list(allowed)] = 0
-            likelihood = likelihood + bar
-        if n == 1:
-            return (self.log_start + likelihood).argmax(1)
-        back = np.empty((n, k), np.int8)
-        move = [list(map(float, row)) for row in self.log_move.T]
-        score = (self.log_start + likelihood[0]).tolist()
-        rows = likelihood.tolist()
-        for i in range(1, n):
-            now = []
-            for j in range(k):
-                best, arg = -1e18, 0
-                for s, (a, b) in enumerate(zip(score, move[j])):
-                    if a + b > best:
-                        best, arg = a + b, s
-                back[i, j] = arg
-                now.append(best + rows[i][j])
-            score = now
-        path = np.empty(n, np.int8)
-        path[-1] = int(np.argmax(score))
-        for i in range(n - 1, 0, -1):
-            path[i - 1] = back[i, path[i]]
+            likelihood = np.where(allowed, likelihood, likelihood - 1e9)
+        starts = np.cumsum(lengths) - lengths
+        order = np.argsort(-lengths, kind="stable")
+        starts, lengths = starts[order], lengths[order]
+        back = np.zeros(likelihood.shape, np.int8)
+        score = self.log_start + likelihood[starts]
+        last = np.empty((len(lengths), likelihood.shape[1]))
+        for i in range(1, int(lengths.max(initial=1))):
+            going = int(np.searchsorted(-lengths, -i, side="left"))  # documents of more than i lines
+            last[going : len(score)] = score[going:]
+            ways = score[:going, :, None] + self.log_move
+            best = ways.argmax(1)
+            at = starts[:going] + i
+            back[at] = best
+            score = np.take_along_axis(ways, best[:, None], 1)[:, 0] + likelihood[at]
+        last[: len(score)] = score
+        path = np.empty(len(likelihood), np.int8)
+        state = last.argmax(1)
+        for i in range(int(lengths.max(initial=1)) - 1, -1, -1):
+            going = int(np.searchsorted(-lengths, -i, side="left"))
+            at = starts[:going] + i
+            path[at] = state[:going]
+            state[:going] = back[at, state[:going]]
         return path
 
 
@@ -288,8 +390,11 @@ def fit_lines(docs: Sequence[tuple[int, np.ndarray, np.ndarray]], common: frozen
         model = LineModel(emission, np.log(start / start.sum()), np.log(move / move.sum(1, keepdims=True)), common)
         likelihood = emission.log_likelihood(x)
         y = y.copy()
+        every = np.arange(len(FORMS))
+        form_of_line = np.repeat(forms, np.diff(starts))[:, None]
+        paths = model.states(likelihood, np.diff(starts), (every == 0) | (every == form_of_line) | (form_of_line == 0))
         for f, a, b in zip(forms, starts, starts[1:]):
-            path = model.states(likelihood[a:b], (0, int(f)) if f else None)
+            path = paths[a:b]
             # the label says that much of the document has its form; if the model finds too little of it, the label is kept
             if chars[a:b][path == f].sum() >= 0.3 * chars[a:b].sum():
                 y[a:b] = path
@@ -312,8 +417,8 @@ def form_of(shares: np.ndarray, least: float = 2 / 3) -> str:
 _LABELLED = pa.schema([("doc", pa.int64()), ("form", pa.int32()), ("line", pa.int32()), ("chars", pa.int64()), ("x", pa.list_(pa.float32()))])
 
 
-#: Languages times words of each that the driver holds; more are an error.
-MOST_COMMON = 200_000
+#: Common words that the driver holds, of all languages; more are an error.
+MOST_COMMON = 2_000_000
 
 
 def _language(documents: DataFrame) -> Column:
@@ -325,8 +430,10 @@ def _document_words(texts: DataFrame, *columns: str) -> DataFrame:
     return texts.select(*columns, F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"), F.lit(0)))).alias("word"))
 
 
-def common_words(documents: DataFrame, sample: DataFrame, least_share: float = 0.03, over: float = 3.0, most: int = 2000) -> frozenset[str]:
-    """Words in at least ``least_share`` of all documents (language, text) of a language, five at least; ``most`` a language at most.
+def common_words(documents: DataFrame, sample: DataFrame, least_share: float = 0.03, over: float = 3.0) -> frozenset[str]:
+    """Words in at least ``least_share`` of all documents (language, text) of a language, five at least.
+
+    As a document has only so many words, there are about 1 / ``least_share`` times as many of them at most.
 
     A word that the labelled ``sample`` (language, form, text) has twice or more in other forms must be ``over`` times as
     frequent in prose there, if the language has labelled prose.
@@ -337,8 +444,8 @@ def common_words(documents: DataFrame, sample: DataFrame, least_share: float = 0
     prose = lambda p, o: (F.count(F.when(F.col("form") == FORMS[0], 1)).alias(p), F.count(F.when(F.col("form") != FORMS[0], 1)).alias(o))
     forms = _document_words(sample, "language", "form").groupBy("language", "word").agg(*prose("p", "o")).where("o >= 2")
     foreign = forms.join(sample.groupBy("language").agg(*prose("prose", "other")), "language").where((F.col("prose") > 0) & (F.col("p") / F.col("prose") <= over * F.col("o") / F.col("other")))
-    kept = top_n_per_group(frequent.join(foreign, ["language", "word"], "left_anti").withColumn("d", F.col("d").cast("double")), ["language"], "word", "d", most)
-    words = kept.select("word").limit(MOST_COMMON + 1).collect()
+    kept = frequent.join(foreign, ["language", "word"], "left_anti")
+    words = kept.select("word").distinct().limit(MOST_COMMON + 1).collect()
     if len(words) > MOST_COMMON:
         raise ValueError(f"more than {MOST_COMMON} common words")
     return frozenset(r.word for r in words)
@@ -365,13 +472,13 @@ def fit_model(documents: DataFrame, labels: DataFrame, most: int = 6000, most_li
     common = common_words(documents.select("text", _language(documents).alias("language")), sample)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = _WordKinds(common)
+        kinds, characters = _WordKinds(common), _Characters()
         for batch in batches:
             for doc, form, text in zip(*(c.to_pylist() for c in batch.columns)):
                 lines, chars = split_lines(text)
                 if not lines:
                     continue
-                x = np.array(line_statistics(lines, kinds)[0], np.float32)
+                x, _ = line_statistics([lines], kinds, characters)
                 at = doc * 2654435761 % max(1, len(lines) - most_lines + 1) if len(lines) > most_lines else 0
                 x, chars = x[at : at + most_lines], chars[at : at + most_lines]
                 n = len(x)
@@ -399,6 +506,17 @@ _SCORED = pa.schema(
 )
 
 
+def _by_size(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``most`` characters of text; a longer text is one slice."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy()
+    ends = np.cumsum(sizes)
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def document_quality(documents: DataFrame, model: LineModel) -> DataFrame:
     """Text statistics and the shares of prose, list, table and junk for every row of ``documents`` (doc_id, text).
 
@@ -414,32 +532,31 @@ def document_quality(documents: DataFrame, model: LineModel) -> DataFrame:
     * an empty table gives no row; other columns are not read.
     """
 
-    empty = (0, *[None] * 9)
-
-    def scored(texts: list[str | None], kinds: _WordKinds) -> Iterator[tuple]:
+    def scored(texts: list[str | None], kinds: _WordKinds, characters: _Characters) -> list[pa.Array]:
         split = [split_lines(x or "") for x in texts]
-        made = [line_statistics(lines, kinds) for lines, _ in split]
-        stats = [row for rows, _ in made for row in rows]
-        likelihood = model.emission.log_likelihood(np.array(stats, np.float32)) if stats else None
-        at = 0
-        for (lines, chars), (_, sums) in zip(split, made):
-            if not lines:
-                yield empty
-                continue
-            path = model.states(likelihood[at : at + len(lines)])
-            at += len(lines)
-            shares = np.bincount(path, weights=chars, minlength=len(FORMS)) / chars.sum()
-            n, letters, common, ends = map(sum, zip(*sums))
-            solid = sum(len(x) - sum(map(str.isspace, x)) for x in lines)
-            yield n, letters / n if n else None, (solid - letters) / solid, ends / len(lines), common / n if n else None, *map(float, shares), form_of(shares)
+        full = np.array([i for i, (lines, _) in enumerate(split) if lines], np.int64)
+        docs, chars = [split[i][0] for i in full], [split[i][1] for i in full]
+        out = [np.zeros(len(texts), np.int64), *(np.full(len(texts), np.nan) for _ in range(8)), np.full(len(texts), None, object)]
+        if len(full):
+            x, sums = line_statistics(docs, kinds, characters)
+            lengths = np.array([len(d) for d in docs])
+            first = np.cumsum(lengths) - lengths
+            path = model.states(model.emission.log_likelihood(x), lengths)
+            per_doc = lambda v: np.add.reduceat(v, first)
+            n, letters, common, ends = per_doc(sums).T
+            weight = np.concatenate(chars)
+            shares = per_doc(np.where(path[:, None] == np.arange(len(FORMS)), weight[:, None], 0)) / per_doc(weight)[:, None]
+            solid = per_doc(np.array([len(x) - sum(map(x.count, set(filter(str.isspace, x)))) for d in docs for x in d]))
+            words = np.where(n > 0, n, np.nan)
+            for column, value in zip(out, (n, letters / words, (solid - letters) / solid, ends / lengths, common / words, *shares.T, [form_of(s) for s in shares])):
+                column[full] = value
+        return [pa.array(c, f.type, from_pandas=True) for c, f in zip(out, list(_SCORED)[1:])]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = _WordKinds(model.common)
+        kinds, characters = _WordKinds(model.common), _Characters()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                columns = zip(*scored(part.column(1).to_pylist(), kinds))
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, f.type) for c, f in zip(columns, list(_SCORED)[1:]))], schema=_SCORED)
+            for part in _by_size(batch, 1_000_000):
+                yield pa.RecordBatch.from_arrays([part.column(0), *scored(part.column(1).to_pylist(), kinds, characters)], schema=_SCORED)
 
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")).mapInArrow(
         run,

@@ -54,7 +54,7 @@ select group_id, group_kind, item_id, cast(rnk as int) rnk from ranked where rnk
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = session.stage(unit_vectors(table(spark, folder, "movies", "id", "essence_vector"), "id", "essence_vector", 64), "vectors")
+    vectors = _movie_units(spark, folder)
     found = birch.fit(vectors, 64)
     return birch.references_in_blocks(
         vectors, 64, found, double_units(table(spark, folder, "movie_theme_clusters", "id", "centroid"), "id", "centroid", 64), 0.9
@@ -63,11 +63,49 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p3_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """The movies' own clusters: size, mean cosine and five most typical movies of each."""
-    vectors = session.stage(unit_vectors(table(spark, folder, "movies", "id", "essence_vector"), "id", "essence_vector", 64), "vectors")
+    vectors = _movie_units(spark, folder)
     assigned, _ = birch.similarity_clusters(vectors, 64)
     return birch.describe(session.stage(assigned.select("record", "cluster", "cosine"), "assigned"))
 
 
+def p3_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of any division of the movies: each usable one in one cluster, sizes that add up, and the members nearest the centroid as the typical ones."""
+    vectors = _movie_units(spark, folder)
+    assigned, _ = birch.similarity_clusters(vectors, 64)
+    assigned = session.stage(assigned.select("record", "cluster", "cosine"), "assigned")
+    described = birch.describe(assigned)
+    sizes = described.select("cluster", "size").distinct().agg(F.sum("size").alias("total_size"))
+    # the least cosine of the typical members against all others of their cluster
+    typical = described.select("cluster", "record", F.lit(True).alias("typical"))
+    edge = described.groupBy("cluster").agg(F.min("cosine").alias("edge"), F.max("rnk").alias("n_typical"), F.max("size").alias("n"))
+    nearer = assigned.join(typical, ["cluster", "record"], "left_anti").join(edge, "cluster").where(F.col("cosine") > F.col("edge")).agg(F.count("*").alias("nearer_left_out"))
+    short = edge.where(F.col("n_typical") != F.least(F.lit(5), F.col("n"))).agg(F.count("*").alias("clusters_with_too_few"))
+    rows = assigned.agg(F.count("*").alias("n_rows"), F.countDistinct("record").alias("n_movies"))
+    return rows.join(sizes).join(nearer).join(short)  # one row each
+
+
+P3_WHOLE_SQL = "n as (select count(*) n from m) select n n_rows, n n_movies, n total_size, 0 nearer_left_out, 0 clusters_with_too_few from n"
+
+
+def p3_themes_met(spark: SparkSession, folder: str) -> DataFrame:
+    """The themes with five movies or more within cosine 0.9, and how many of them have an own cluster's centroid as near: what the clusters themselves find, without the themes."""
+    vectors = _movie_units(spark, folder)
+    found = birch.fit(vectors, 64)
+    themes = double_units(table(spark, folder, "movie_theme_clusters", "id", "centroid"), "id", "centroid", 64)
+    members = birch.references_in_blocks(vectors, 64, found, themes, 0.9)
+    large = members.groupBy("reference").agg(F.count("*").alias("n")).where("n >= 5").select("reference")
+    centroids = found.table.select(F.col("cluster").cast("string").alias("record"), birch.as_float32(found.table))
+    met = birch.references_in_blocks(centroids, 64, found, themes, 0.9).select("reference").distinct().withColumn("met", F.lit(1))
+    return large.join(met, "reference", "left").agg(F.count("*").alias("n_themes"), F.count("met").alias("n_met"))
+
+
+P3_MET_SQL = "g as (select c.id from m, c where list_inner_product(m.v, c.v) >= 0.9 group by 1 having count(*) >= 5) select count(*) n_themes, count(*) n_met from g"
+
+
+def _movie_units(spark: SparkSession, folder: str) -> DataFrame:
+    return session.stage(unit_vectors(table(spark, folder, "movies", "id", "essence_vector"), "id", "essence_vector", 64), "vectors")
+
+
 def _units_sql(name: str, source: str, column: str) -> str:
     """A CTE (id, v) of usable vectors of length 1, one per id."""
     return f"""{name} as (
@@ -100,7 +138,7 @@ where n_ab * (select count(distinct id) from movies) >= 4 * x.c * y.c
 """
 
 
-def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+def _keyword_sets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     movies = one_per_record(table(spark, folder, "movies", "id", "keywords", "genres"), "id", "keywords", "genres")
     tagged = lambda array, mark: F.transform(term_set(F.col(array)), lambda x: F.concat(F.lit(mark), x))
     sets = (
@@ -108,7 +146,11 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
         .where(F.size("k") >= 5)
         .select("record", F.concat("k", "g").alias("values"))
     )
-    pairs, members = setjoin.similar_sets(sets, "record", "values", "0.7")
+    return setjoin.similar_sets(sets, "record", "values", "0.7")
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    pairs, members = _keyword_sets(spark, folder)
     return setjoin.member_pairs(pairs, members).select(F.col("record_a").alias("movie_id_a"), F.col("record_b").alias("movie_id_b"))
 
 
@@ -128,6 +170,30 @@ having 10 * count(*) >= 7 * (x.n + y.n - count(*))
 """
 
 
+def p5_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per movie with enough keywords: how many other movies have the same set, and how many other sets are similar; copies are not expanded into pairs."""
+    pairs, members = _keyword_sets(spark, folder)
+    both = pairs.select(F.col("cls_a").alias("cls")).unionByName(pairs.select(F.col("cls_b").alias("cls")))
+    links = both.groupBy("cls").agg(F.count("*").alias("links"))
+    sizes = members.groupBy("cls").agg((F.count("*") - 1).alias("copies")).join(links, "cls", "left")
+    return members.join(sizes, "cls").select(F.col("record").alias("movie_id"), "copies", F.coalesce("links", F.lit(0)).cast("bigint").alias("similar_sets"))
+
+
+P5_CLASSES_SQL = f"""
+with mt as (
+  select distinct id, kind, {term_sql("x")} t from (
+    select id, 'k' kind, unnest(keywords) x from movies where id is not null
+    union all select id, 'g', unnest(genres) from movies where id is not null) where x is not null),
+t as (select * from mt where t <> ''),
+s as (select id, list(kind || t order by kind, t) v, count(*) n from t group by id having count(*) filter (kind = 'k') >= 5),
+c as (select v, min(id) c, count(*) - 1 copies, any_value(n) n from s group by v),
+u as (select t.*, c.n from c join t on t.id = c.c),
+p as (select a.id a, b.id b from u a join u b on a.kind = b.kind and a.t = b.t and a.id < b.id group by a.id, b.id, a.n, b.n having 10 * count(*) >= 7 * (a.n + b.n - count(*))),
+l as (select id, count(*) k from (select a id from p union all select b from p) group by 1)
+select s.id movie_id, copies, coalesce(k, 0) similar_sets from s join c using (v) left join l on l.id = c.c
+"""
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return termfreq.marked(table(spark, folder, "movies", "id", "keywords"), "id", "keywords").where("mark is not null").select("term", "mark")
 
@@ -142,7 +208,7 @@ select term, case when 20 * c > n then 'common' else 'rare' end mark from m, n w
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = session.stage(unit_vectors(table(spark, folder, "movies", "id", "essence_vector"), "id", "essence_vector", 64), "vectors")
+    vectors = _movie_units(spark, folder)
     near = knn.nearest(vectors, 64, k=10, least=0.985)
     return near.select(F.least("query", "neighbour").alias("movie_id_a"), F.greatest("query", "neighbour").alias("movie_id_b")).distinct()
 
@@ -155,6 +221,25 @@ select distinct least(q, n) movie_id_a, greatest(q, n) movie_id_b from k where r
 """
 
 
+def p7_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """The approximate search against an exact one: the movies whose tmdb_id is divisible by 100, against all movies.
+
+    Parts of 25 movies, so that there are very many even in a small table, and a
+    small fan-out, so that there are parts of parts; the exact search has one part.
+    """
+    vectors = _movie_units(spark, folder)
+    asked = table(spark, folder, "movies", "id", "tmdb_id").where("tmdb_id % 100 = 0").select(F.col("id").alias("record")).distinct()
+    asked = session.stage(vectors.join(asked, "record", "left_semi"), "queries")
+    pairs = lambda df: df.select("query", "neighbour")
+    near = session.stage(pairs(knn.nearest(vectors, 64, k=10, queries=asked, part_rows=25, fan_out=64)), "near")
+    exact = session.stage(pairs(knn.nearest(vectors, 64, k=10, queries=asked, part_rows=1 << 40)), "exact")
+    counts = exact.agg(F.countDistinct("query").alias("n_queries"), F.count("*").alias("n_exact")).join(exact.join(near, ["query", "neighbour"]).agg(F.count("*").alias("met")))
+    return counts.join(near.agg(F.count("*").alias("n_near"))).select("n_queries", "n_exact", "n_near", (F.col("met") >= 0.9 * F.col("n_exact")).alias("recall_is_09"))
+
+
+P7_RECALL_SQL = "n as (select count(*) n from m where id in (select id from movies where tmdb_id % 100 = 0)) select n n_queries, 10 * n n_exact, 10 * n n_near, true recall_is_09 from n"
+
+
 def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     profiles = table(spark, folder, "pack_capacities", "profile", "max_tokens").where("profile is not null and max_tokens > 0").orderBy("profile").limit(MOST_PROFILES + 1).collect()
     if len(profiles) > MOST_PROFILES:
@@ -162,6 +247,31 @@ def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents", "doc_id", "text"), [(r.profile, r.max_tokens) for r in profiles])
 
 
+def p8_sound(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of any packing, for each capacity: no container overfull, every text in it once and whole, none split without need, little space left."""
+    packed = session.stage(p8_containers(spark, folder), "packed")
+    caps = table(spark, folder, "pack_capacities", "profile", "max_tokens")
+    length = F.col("token_to") - F.col("token_from")
+    loads = packed.groupBy("profile", "container").agg(F.sum(length).alias("load")).join(caps, "profile")
+    by_profile = loads.groupBy("profile", "max_tokens").agg(F.count("*").alias("containers"), F.count_if(F.col("load") > F.col("max_tokens")).alias("overfull"), F.sum("load").alias("tokens"))
+    texts = packed.groupBy("profile", "doc_id").agg(
+        F.count("*").alias("pieces"), F.countDistinct("piece").alias("places"), F.max("piece").alias("last"), F.min("token_from").alias("first"), F.max("token_to").alias("size"), F.sum(length).alias("sum")
+    )
+    whole = (F.col("first") == 0) & (F.col("size") == F.col("sum")) & (F.col("places") == F.col("pieces")) & (F.col("last") == F.col("pieces") - 1)
+    least = F.greatest(F.lit(1), F.ceil(F.col("size") / F.col("max_tokens")))
+    of_texts = texts.join(caps, "profile").groupBy("profile").agg(F.count("*").alias("n_texts"), F.count_if(~whole).alias("broken"), F.count_if(F.col("pieces") > least).alias("split_too_often"))
+    shards = F.ceil(F.lit(table(spark, folder, "documents").count()) / 20_000)
+    tight = (F.col("containers") <= F.ceil(F.col("tokens") / F.col("max_tokens")) * 1.05 + 3 * shards).alias("tight")
+    return by_profile.join(of_texts, "profile").select("profile", "n_texts", "overfull", "broken", "split_too_often", tight)
+
+
+P8_SQL = """
+select profile, n n_texts, 0 overfull, 0 broken, 0 split_too_often, true tight
+from pack_capacities, (select count(distinct doc_id) n from documents where doc_id is not null and text is not null)
+where profile is not null and max_tokens > 0
+"""
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_spans(spark, folder).select("doc_id", "item_id").distinct()
 
@@ -191,22 +301,68 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.document_quality(documents, model)
 
 
+def p10_plain(spark: SparkSession, folder: str) -> DataFrame:
+    """The plain statistics of every document."""
+    shown = [F.round(c, 6).alias(c) for c in ("mean_word_length", "symbol_ratio", "punctuated_lines")]
+    return p10_statistics(spark, folder).select("doc_id", "n_words", *shown)
+
+
+P10_PLAIN_SQL = r"""
+with l as (
+  select doc_id, unnest(list_filter(regexp_split_to_array(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]'), lambda x: regexp_matches(x, SOLID))) x
+  from documents where text is not null),
+b as (select doc_id, x, regexp_replace(x, '<[^<>]*>', ' ', 'g') y from l),
+w as (
+  select doc_id, len(regexp_extract_all(y, WORD)) n, len(list_aggregate(regexp_extract_all(y, WORD), 'string_agg', '')) letters,
+    length(regexp_replace(x, SPACE, '', 'g')) solid, cast(regexp_matches(y, '[.!?\x{2026}]["\x{27}\x{201d}\x{2019}\x{bb})\]]*' || SPACE || '*$|["\x{201d}\x{bb}]' || SPACE || '*$') as int) ends
+  from b),
+s as (select doc_id, sum(n) n, coalesce(sum(letters), 0) letters, sum(solid) solid, avg(ends) ends from w group by doc_id)
+select d.doc_id, cast(coalesce(n, 0) as bigint) n_words, round(case when n > 0 then letters / n end, 6) mean_word_length, round((solid - letters) / solid, 6) symbol_ratio, round(ends, 6) punctuated_lines
+from documents d left join s using (doc_id)
+""".replace("WORD", r"'[\p{L}\p{N}]+(?:[\x{27}\x{2019}][\p{L}\p{N}]+)*'").replace("SPACE", r"'[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]'").replace(
+    "SOLID", r"'[^\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]'"
+)
+
+
+def p10_held_out(spark: SparkSession, folder: str) -> DataFrame:
+    """The model fitted on the labelled documents of even doc_id, against the labels of the others: how many there are, and whether at least two thirds are met (with the dozen labels of a small table; README has the figures of larger ones)."""
+    documents = table(spark, folder, "documents", "doc_id", "text", "lang")
+    labels = table(spark, folder, "doc_labels", "doc_id", "form")
+    model = quality.fit_model(documents, labels.where("doc_id % 2 = 0"))
+    held = quality.labelled(documents, labels.where("doc_id % 2 = 1"), 1 << 30).select(F.col("doc").alias("doc_id"), F.col("form").alias("label"), "text")
+    scored = quality.document_quality(held, model).join(held.select("doc_id", "label"), "doc_id")
+    return scored.agg(F.count("*").alias("n_documents"), (F.count_if(F.col("form") == F.col("label")) >= 2 / 3 * F.count("*")).alias("met"))
+
+
+P10_HELD_SQL = """
+select count(distinct doc_id) n_documents, true met from doc_labels join documents using (doc_id)
+where form in ('prose', 'list', 'table', 'junk') and doc_id % 2 = 1 and text is not null
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "p1_found": p1_found,
-        "p3_found": p3_found,
-        "p3_clusters": p3_clusters,
-        "p4_found": p4_found,
-        "p5_found": p5_found,
-        "p6_found": p6_found,
-        "p7_found": p7_found,
-        "p8_containers": p8_containers,
-        "p9_found": p9_found,
-        "p9_spans": p9_spans,
-        "p10_found": p10_found,
-        "p10_statistics": p10_statistics,
-    }
+    plain = (
+        p1_found, p3_found, p3_clusters, p3_whole, p3_themes_met, p4_found, p5_found, p5_classes, p6_found, p7_found, p7_recall, p8_containers, p8_sound, p9_found, p9_spans,
+        p10_found, p10_statistics, p10_plain, p10_held_out,
+    )
+    return {f.__name__: f for f in plain}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL}
+    units = f"with {_units_sql('m', 'movies', 'essence_vector')}"
+    return {
+        "p1_found": P1_SQL,
+        "p3_found": P3_SQL,
+        "p3_whole": f"{units}, {P3_WHOLE_SQL}",
+        "p3_themes_met": f"{units}, {_units_sql('c', 'movie_theme_clusters', 'centroid')}, {P3_MET_SQL}",
+        "p4_found": P4_SQL,
+        "p5_found": P5_SQL,
+        "p5_classes": P5_CLASSES_SQL,
+        "p6_found": P6_SQL,
+        "p7_found": P7_SQL,
+        "p7_recall": f"{units}, {P7_RECALL_SQL}",
+        "p8_sound": P8_SQL,
+        "p9_found": P9_SQL,
+        "p10_plain": P10_PLAIN_SQL,
+        "p10_held_out": P10_HELD_SQL,
+    }

@@ -1,5 +1,6 @@
 import random
 from collections import defaultdict
+from itertools import product
 
 import numpy as np
 import pytest
@@ -169,21 +170,59 @@ def test_common_words_of_a_language_without_labels(spark):
 def test_viterbi_smooths():
     model = quality.LineModel(None, np.log(np.full(4, 0.25)), np.log(np.full((4, 4), 0.01) + np.eye(4) * 0.96), frozenset())
     like = np.log(np.array([[0.9, 0.1, 1e-3, 1e-3]] * 3 + [[0.4, 0.6, 1e-3, 1e-3]] + [[0.9, 0.1, 1e-3, 1e-3]] * 2))
-    assert model.states(like).tolist() == [0] * 6
-    assert model.states(like, (1, 2)).tolist() == [1] * 6
+    assert model.states(like, [6]).tolist() == [0] * 6
+    assert model.states(like, [6], np.tile([False, True, True, False], (6, 1))).tolist() == [1] * 6
+    assert model.states(like[:0], []).tolist() == []
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(1, 5), min_size=1, max_size=6), st.integers(0, 1000))
+def test_viterbi_of_many_documents_at_once(lengths, seed):
+    rng = np.random.default_rng(seed)
+    start, move, like = np.log(rng.dirichlet(np.ones(4))), np.log(rng.dirichlet(np.ones(4), 4)), np.log(rng.random((sum(lengths), 4)))
+    got, at = quality.LineModel(None, start, move, frozenset()).states(like, lengths), 0
+    for n in lengths:
+        part = like[at : at + n]
+        best = max(product(range(4), repeat=n), key=lambda p: start[p[0]] + part[0, p[0]] + sum(move[p[i - 1], p[i]] + part[i, p[i]] for i in range(1, n)))
+        assert tuple(got[at : at + n].tolist()) == best
+        at += n
+
+
+def statistics(*lines):
+    return quality.line_statistics([list(lines)], quality._WordKinds(frozenset({"the"})), quality._Characters())
 
 
 def test_long_lines_take_linear_time():
     import time
 
-    kinds = quality._WordKinds(frozenset())
-    lines = ["." * 100_000 + " a b c d e f", "1" * 100_000 + "x", "<" * 100_000, "a" * 100_000, '.")' * 50_000 + "x", " " * 100_000 + "x", "1,2.3 -4 x5"]
+    lines = ["." * 100_000 + " a b c d e f", "1" * 100_000 + "x", "<" * 100_000, "a" * 100_000, '.")' * 50_000 + "x", "a..." * 50_000 + " b c d e f g", " " * 100_000 + "x", "1,2.3 -4 x5"]
     began = time.perf_counter()
-    stats, sums = quality.line_statistics(lines, kinds)
+    stats, sums = statistics(*lines)
     assert time.perf_counter() - began < 5
     number = quality.STATISTICS.index("number_tokens")
-    assert len(stats) == 7 and all(len(x) == len(quality.STATISTICS) for x in stats)
-    assert stats[-1][number] == 2 / sums[-1][0] and stats[1][number] == 0
+    assert stats.shape == (8, len(quality.STATISTICS))
+    assert stats[-1][number] == np.float32(2 / sums[-1][0]) and stats[1][number] == 0
+
+
+def test_no_statistic_depends_on_the_length_of_a_line():
+    """The same ends and starts, after or before text of any length."""
+    column = lambda x, name: x[:, quality.STATISTICS.index(name)].tolist()
+    sizes = (50, 990, 1200, 5000)
+    x, _ = statistics(*("word " * (n // 5) + end for n in sizes for end in ("Harbour ..... 12", "he left." + "”)" * 60, "he left")))
+    assert column(x, "leader") == [1, 0, 0] * 4 and column(x, "ends_sentence") == [0, 1, 0] * 4
+    x, _ = statistics(*(y for n in sizes for y in ("a" * n + " - 1", "b" * n + " - 1", "b" * n + " = 1")))
+    assert column(x, "like_next") == [1, 0, 0] * 4
+
+
+def test_statistics_by_hand():
+    name = lambda x, row, n: float(x[row, quality.STATISTICS.index(n)])
+    x, sums = statistics("<b>The cat's</b>, two  dogs;", "| 12 | 3,4 |\t")
+    assert sums.tolist() == [[4, 14, 1, 0], [3, 4, 0, 0]]
+    assert name(x, 0, "wide_gaps") == pytest.approx(1 / 3) and name(x, 0, "semicolons_a_word") == 0.25 and name(x, 0, "commas_a_word") == 0.25
+    assert name(x, 1, "pipes") == 1 and name(x, 1, "number_tokens") == pytest.approx(2 / 3) and name(x, 1, "tight_commas") == pytest.approx(1 / 3)
+    assert name(x, 0, "distinct_words") == 1 and name(x, 0, "longest_word") == pytest.approx(5 / 40) and name(x, 0, "tag_chars") == pytest.approx(7 / 24)
+    empty, none = statistics()
+    assert empty.shape == (0, len(quality.STATISTICS)) and len(none) == 0
 
 
 def test_too_many_capacity_profiles_are_an_error(spark, tmp_path):
