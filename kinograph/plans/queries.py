@@ -559,15 +559,15 @@ def rails_for_new(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rails_for_affected(spark: SparkSession, folder: str) -> DataFrame:
-    """The audited rails of the movies that lack rows in one of them, from a smaller net; written by rail over those of another run, and read again."""
+    """The audited rails of the movies that lack rows in one of them, from a smaller net; written by rail over those of another run (which have no rank), and read again."""
     movies, path = _rail_movies(spark, folder), f"{_scratch(spark)}/neighbours"
     stale = table(spark, folder, "movie_neighbors", "source_movie_id", "recommendation_type", "neighbor_movie_id", "score").where(F.col("recommendation_type").isin(*AUDITED))
-    sinks.write_rails(stale, path)
+    sinks.write_rails(stale.withColumn("rank", F.lit(None).cast("int")), path)
     affected = rail_operators.incomplete(movies, table(spark, folder, "movie_neighbors", "source_movie_id", "recommendation_type"), AUDITED)
     made = rail_operators.rails(movies, rail_operators.RailParams(net_size=150), sources=affected, wanted=AUDITED)
     named = made.select(F.col("source_id").alias("source_movie_id"), F.col("rail").alias("recommendation_type"), F.col("neighbour_id").alias("neighbor_movie_id"), "score", "rank")
     sinks.write_rails(named, path)
-    return spark.read.parquet(path).select("source_movie_id", "recommendation_type", "rank", "neighbor_movie_id", F.round("score", 6).alias("score"))
+    return spark.read.parquet(path).where("rank is not null").select("source_movie_id", "recommendation_type", "rank", "neighbor_movie_id", F.round("score", 6).alias("score"))
 
 
 def rails_incomplete(spark: SparkSession, folder: str) -> DataFrame:

@@ -56,10 +56,14 @@ def test_a_call_that_hangs_is_given_up():
         landed.within(lambda _: (_ for _ in ()).throw(landed.Busy()), 5)([1])
 
 
-def test_landed_by_folder(spark, rows, tmp_path):
-    df = landed.landed(spark.createDataFrame([(1, "a"), (2, "b")], "y int, x string"), str(tmp_path / "p"), "y")
-    assert rows(df.where("y = 2"), "x") == [("b",)]
-    assert "PartitionFilters: [isnotnull(y" in df.where("y = 2")._jdf.queryExecution().toString()
+def test_only_the_wanted_years_are_read(spark, rows, tmp_path):
+    path = str(tmp_path / "p")
+    pages = [(y, [(y * 10, 50, 1.0, f"{y}-01-01")], 1) for y in (1999, 2000, 2001)]
+    kind = "release_year int, results array<struct<id:bigint,vote_count:bigint,popularity:double,release_date:string>>, total_pages int"
+    spark.createDataFrame(pages, kind).write.partitionBy("release_year").json(path)
+    df = landed.discovered(spark, path, where=F.col("release_year") == 2000, partition="release_year int")
+    assert rows(df, "id") == [(20000,)]
+    assert "PartitionFilters: [isnotnull(release_year" in df._jdf.queryExecution().toString()
 
 
 def test_pulled(spark, rows):
