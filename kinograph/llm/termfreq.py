@@ -129,11 +129,16 @@ def term_frequencies(df: DataFrame, record: str, array: str, burst: int = 256, f
     ``kinograph.functions.terms`` for what a term is.
 
     * null and empty arrays, null and blank elements: nothing to count;
-    * rows that repeat a record count once; rows without a record id do not count;
+    * rows that repeat a record are one record: equal lists count once, other lists are joined; rows without a record id do not count;
     * an empty table gives no row; terms of any length are counted whole;
     * other columns are not read.
     """
-    rows = term_records(df, record, array).select("terms").where(F.size("terms") > 0)
+    return _frequencies(term_records(df, record, array).select("terms"), burst, flush, route_terms)
+
+
+def _frequencies(records: DataFrame, burst: int, flush: int, route_terms: int) -> DataFrame:
+    """``term_frequencies`` of lists of terms, a row per record."""
+    rows = records.where(F.size("terms") > 0)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = BurstTrie(burst)
@@ -195,17 +200,20 @@ def term_frequencies(df: DataFrame, record: str, array: str, burst: int = 256, f
         yield from _batches(rows(), _COUNT_ARROW, 10_000)
 
     routed = subtries.mapInArrow(route, f"route string, {_SUBTRIE}")
-    return routed.repartition(session.shuffle_partitions(df.sparkSession), "route").sortWithinPartitions("route").mapInArrow(merge, "term string, occurrences bigint, records bigint")
+    return routed.repartition(session.shuffle_partitions(records.sparkSession), "route").sortWithinPartitions("route").mapInArrow(merge, "term string, occurrences bigint, records bigint")
 
 
-def marked(df: DataFrame, record: str, array: str, common_share: tuple[int, int] = (1, 20), rare_below: int = 15) -> DataFrame:
+def marked(
+    df: DataFrame, record: str, array: str, common_share: tuple[int, int] = (1, 20), rare_below: int = 15, burst: int = 256, flush: int = 500_000, route_terms: int = 100_000
+) -> DataFrame:
     """``term_frequencies`` with ``share`` of all records and ``mark``: common (more than the share), rare (fewer records), else null.
 
     All records count for the share, those without terms included.
     """
-    n = df.select(F.col(f"`{record}`").alias("record")).where(F.col("record").isNotNull()).distinct().count()
+    records = session.stage(term_records(df, record, array).select("terms"), "records")
+    n = records.count()
     up, down = common_share
-    return term_frequencies(df, record, array).select(
+    return _frequencies(records, burst, flush, route_terms).select(
         "term",
         "occurrences",
         "records",
