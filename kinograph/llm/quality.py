@@ -341,7 +341,7 @@ class LineModel:
 
         All documents go on together, line by line; the longer ones are left when the shorter have ended.
         """
-        lengths = np.asarray(lengths)
+        lengths = np.asarray(lengths, np.int64)
         if allowed is not None:
             likelihood = np.where(allowed, likelihood, likelihood - 1e9)
         starts = np.cumsum(lengths) - lengths

@@ -217,7 +217,7 @@ def test_no_statistic_depends_on_the_length_of_a_line():
 def test_statistics_by_hand():
     name = lambda x, row, n: float(x[row, quality.STATISTICS.index(n)])
     x, sums = statistics("<b>The cat's</b>, two  dogs;", "| 12 | 3,4 |\t")
-    assert sums.tolist() == [[4, 14, 1, 0], [3, 4, 0, 0]]
+    assert sums.tolist() == [[4, 15, 1, 0], [3, 4, 0, 0]]
     assert name(x, 0, "wide_gaps") == pytest.approx(1 / 3) and name(x, 0, "semicolons_a_word") == 0.25 and name(x, 0, "commas_a_word") == 0.25
     assert name(x, 1, "pipes") == 1 and name(x, 1, "number_tokens") == pytest.approx(2 / 3) and name(x, 1, "tight_commas") == pytest.approx(1 / 3)
     assert name(x, 0, "distinct_words") == 1 and name(x, 0, "longest_word") == pytest.approx(5 / 40) and name(x, 0, "tag_chars") == pytest.approx(7 / 24)
