@@ -232,6 +232,23 @@ def _counts(rows: DataFrame, centroids: np.ndarray) -> np.ndarray:
     return out
 
 
+def nearest_squares(items: DataFrame, key: str, vector: str, centroids: np.ndarray) -> DataFrame:
+    """(key string, vector, d2): the squared distance of every row to its nearest centroid."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squares = (centroids**2).sum(1)
+        at_once = max(1, BLOCK_CELLS // len(centroids))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, at_once):
+                part = batch.slice(lo, at_once)
+                x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                d2 = np.maximum((x**2).sum(1) + (squares - 2 * x @ centroids.T).min(1), 0)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(d2)], names=[key, vector, "d2"])
+
+    rows = items.select(F.col(key).cast("string").alias(key), F.col(vector).alias(vector)).where(F.size(vector) == centroids.shape[1])
+    return rows.mapInArrow(run, f"`{key}` string, `{vector}` array<double>, d2 double")
+
+
 def weighted_start(items: DataFrame, key: str, vector: str, k: int, seed: int = 42, oversample: int = 2, rounds: int = 5) -> np.ndarray:
     """k starting centroids, far apart with high probability: each round every row is drawn with a chance in proportion to its
     squared distance from those drawn so far; the draws, weighted by the rows nearest to them, are then thinned to k the same way.
@@ -246,19 +263,7 @@ def weighted_start(items: DataFrame, key: str, vector: str, k: int, seed: int =
         raise ValueError("no vector to start from")
     chosen = np.array([first[0].v])
     for r in range(rounds):
-        current = chosen
-
-        def distances(batches: Iterable[pa.RecordBatch], current: np.ndarray = current) -> Iterator[pa.RecordBatch]:
-            squares = (current**2).sum(1)
-            at_once = max(1, BLOCK_CELLS // len(current))
-            for batch in batches:
-                for lo in range(0, batch.num_rows, at_once):
-                    part = batch.slice(lo, at_once)
-                    x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
-                    d2 = np.maximum((x**2).sum(1) + (squares - 2 * x @ current.T).min(1), 0)
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(d2)], names=["k", "v", "d2"])
-
-        far = rows.mapInArrow(distances, "k string, v array<double>, d2 double")
+        far = nearest_squares(rows, "k", "v", chosen)
         total = far.agg(F.sum("d2")).first()[0] or 0.0
         if total <= 1e-12:
             break

@@ -297,6 +297,9 @@ select vec_id, label, round(d, 6) distance from (select e.id vec_id, c.label, li
 from (select distinct movie_id, cluster_id from movie_cluster_assignments where cluster_id is not null) a join mov m on m.id = a.movie_id group by 1""",
         "affected_group_recount": """select a.cluster_id, count(*) n_members from (select distinct movie_id, cluster_id from movie_cluster_assignments) a
 where a.cluster_id in (select cluster_id from movie_cluster_assignments where assigned_at >= timestamp '2025-05-20') group by 1""",
+        "start_distances": f"""with {_EMB}, c as (select v from emb order by id limit 5),
+d as (select e.id, min(pow(list_distance(e.v, c.v), 2)) d2 from emb e, c group by 1)
+select id vec_id, round(d2, 6) d2, round(d2 / (select sum(d2) from d) * 1000, 6) per_mille from d""",
         "lloyd_step": _lloyd(1),
         "lloyd_3_rounds": _lloyd(3),
         "cluster_build": f"""with {_RUN}, p as (select cluster, count(*) assigned, round(avg(d), 6) mean_distance from picked group by 1)

@@ -333,6 +333,15 @@ def _lloyd(spark: SparkSession, folder: str, rounds: int) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, pos int, mean double")
 
 
+def start_distances(spark: SparkSession, folder: str) -> DataFrame:
+    """What a round of the weighted start draws by: each embedding's squared distance to the nearest of five centroids, and its share of the total."""
+    items = _embedding_items(spark, folder)
+    chosen = np.array([r.v for r in items.orderBy("id").limit(5).collect()])
+    far = clustering.nearest_squares(items, "id", "v", chosen)
+    total = far.agg(F.sum("d2")).first()[0]
+    return far.select(F.col("id").cast("bigint").alias("vec_id"), F.round("d2", 6).alias("d2"), F.round(F.col("d2") / total * 1000, 6).alias("per_mille"))
+
+
 def kmeans_mllib(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.kmeans_mllib(_embedding_items(spark, folder), "id", "v", 10)
 
@@ -635,7 +644,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         vec_normalize, vec_pair_distance, vec_literal_roundtrip, slugify, text_length_trim, keyword_quality, movies_latest, recent_cutoff, catalog_rank,
         release_years, flat_credits, flat_movie, discovered, discovered_recent, companies_backfill, pulled_vectors, embedding_replies, movies_by_votes, new_catalog_ids, unassigned_movies, movies_without_neighbors, movies_without_documents, keywords_todo, catalog_page,
         assign_top4_m14, assign_top4_m1005, assign_top4_plain_centroids, assign_histogram, nearest_cluster, centroid_means, cluster_popularity,
-        affected_group_recount, lloyd_step, lloyd_3_rounds, kmeans_mllib, kmeans_own, cluster_build, cluster_build_assignments, cluster_label_samples, cluster_labels, keyword_vocab, ungrouped_keywords,
+        affected_group_recount, lloyd_step, lloyd_3_rounds, start_distances, kmeans_mllib, kmeans_own, cluster_build, cluster_build_assignments, cluster_label_samples, cluster_labels, keyword_vocab, ungrouped_keywords,
         group_slugs, keyword_groups, keyword_members, keyword_nearest_group, person_credits, credit_rows, people, people_upsert, director_credits, director_patch, nested_nodes, nested_links, p2_entries, p2_found, rails, rails_for_new, rails_for_affected,
         rails_incomplete, rails_incomplete_observed, run_audit, sink_merge, stream_assign,
     )
