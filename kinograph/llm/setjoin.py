@@ -144,6 +144,7 @@ def similar_sets(
         raise ValueError("the threshold must be above 0 and at most 1")
     limit = small_limit(t, max_keys)
     named, members = _classes(sets, record, values, digest)
+    members = session.stage(members, "members")
     codes = dense_codes(named.select(F.explode("strings").alias("string")).groupBy("string").agg(F.count("*").alias("f")), F.col("f"), F.col("string"))
     coded = named.select("cls", F.explode("strings").alias("string")).join(codes.select("string", "code"), "string")
     classes = coded.groupBy("cls").agg(F.array_sort(F.collect_list("code")).alias("v")).withColumn("size", F.size("v"))
@@ -177,7 +178,7 @@ def similar_sets(
         .where(F.bit_count(F.col("pbits").bitwiseXOR(F.col("qbits"))) <= F.col("psize") + F.col("qsize") - 2 * wanted)
         .select(F.least("pcls", "qcls").alias("cls_a"), F.greatest("pcls", "qcls").alias("cls_b"))
     )
-    candidates = by_subset.unionByName(by_list).distinct()
+    candidates = session.stage(by_subset.unionByName(by_list).distinct(), "candidates")
     side = lambda c, s: classes.select(F.col("cls").alias(c), F.col("v").alias(s))
     pairs = (
         candidates.join(side("cls_a", "sa"), "cls_a")
