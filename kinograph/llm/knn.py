@@ -203,6 +203,20 @@ def _route(router: Router, choose: Choice, dim: int):
     return run
 
 
+def _tally(router: Router, choose: Choice, dim: int):
+    """How many rows ``_route`` would send to each part, a row per part and task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(router.parts, np.int64)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2048):
+                counts += np.bincount(choose(router, matrix(batch.column("vector").slice(lo, 2048), dim))[1], minlength=router.parts)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["part", "n"])
+
+    return run
+
+
 def _route_again(choose: Choice, dim: int, fan_out: int):
     """The second level: rows come sorted by (part, salt, role), the part's own classifier (role 0) first."""
 
@@ -385,18 +399,20 @@ def _class_hits(vectors: DataFrame, asked: DataFrame, dim: int, k: int, least: f
         choose = lambda r, x: r.probable(x, probes, mass)
     home: Choice = lambda r, x: r.home(x)
     members = session.stage(vectors.mapInArrow(_route(router, home, dim), _PLACED), "parts")
-    placed = session.stage(asked.mapInArrow(_route(router, choose, dim), _PLACED), "asked")
+    placed = asked.mapInArrow(_route(router, choose, dim), _PLACED)  # its copies of vectors are not written down; they are made again when they travel
+    tally = asked.mapInArrow(_tally(router, choose, dim), "part bigint, n bigint").groupBy("part").agg(F.sum("n").alias("q"))
     counts = lambda df: {r.part: r["count"] for r in df.groupBy("part").count().collect()}  # noqa: E731 a row per part
     if deep:
         sizes = counts(members)
         routers = _second_level(members, sizes, dim, part_rows, sample, fan_out)
         spread = lambda c: {p: -(-m // query_rows) for p, m in c.items() if p in sizes}
         members = session.stage(_again(members, routers, spread(sizes), home, dim, fan_out), "parts")
-        asked_sizes = counts(placed)
+        asked_sizes = {r.part: r.q for r in tally.collect()}  # a row per part
         placed = placed.where(F.col("part").isin(list(sizes)))  # a part without rows has no neighbour
         placed = session.stage(_again(placed, routers, spread(asked_sizes), choose, dim, fan_out), "asked")
+        tally = placed.groupBy("part").agg(F.count("*").alias("q"))
     # cells of a part and shares of its queries, as a table: there may be very many parts
-    plan = members.groupBy("part").agg(F.count("*").alias("m")).join(placed.groupBy("part").agg(F.count("*").alias("q")), "part")
+    plan = members.groupBy("part").agg(F.count("*").alias("m")).join(tally, "part")
     plan = session.stage(plan.select("part", "m", "q", F.ceil(F.col("m") / cell_rows).cast("int").alias("cells"), F.ceil(F.col("q") / query_rows).cast("int").alias("shares")), "plan")
     cells, copies = plan.agg(F.sum(F.col("cells") * F.col("shares")), F.sum(F.col("m") * F.col("shares") + F.col("q") * F.col("cells"))).first()
     plan = plan.select("part", "cells", "shares")
