@@ -486,7 +486,8 @@ def fit_model(documents: DataFrame, labels: DataFrame, most: int = 6000, most_li
                     [pa.array([doc] * n, pa.int64()), pa.array([FORMS.index(form)] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(chars), pa.array(list(x), pa.list_(pa.float32()))], schema=_LABELLED
                 )
 
-    rows = sample.select("doc", "form", "text").mapInArrow(run, "doc bigint, form int, line int, chars bigint, x array<float>").orderBy("doc", "line").toArrow()
+    rows = sample.select("doc", "form", "text").mapInArrow(run, "doc bigint, form int, line int, chars bigint, x array<float>").toArrow()
+    rows = rows.sort_by([("doc", "ascending"), ("line", "ascending")])
     if not rows.num_rows:
         raise ValueError("no labelled document to fit on")
     doc = rows["doc"].to_numpy()
