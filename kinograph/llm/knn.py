@@ -43,6 +43,10 @@ from kinograph import session
 from kinograph.llm.vectors import as_packed, matrix
 
 
+#: Classes of more than one record that are broadcast, a vector and a name each; more are joined by shuffle.
+MOST_BROADCAST = 20_000
+
+
 @dataclass(frozen=True)
 class Router:
     """The classifier: scores = x W + b; the higher, the more probable the part."""
@@ -293,7 +297,8 @@ def _classes(named: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Classes of equal vectors, staged: (record, vector) with the least record of each, and (cls, copy) for every record of those with more than one."""
     counted = session.stage(named.groupBy("vector").agg(F.min("record").alias("record"), F.count("*").alias("n")), "classes")
     shared = counted.where("n > 1").select("vector", F.col("record").alias("cls"))
-    copies = session.stage(named.join(shared, "vector").select("cls", F.col("record").alias("copy")), "copies")
+    few = shared.count() <= MOST_BROADCAST
+    copies = session.stage(named.join(F.broadcast(shared) if few else shared, "vector").select("cls", F.col("record").alias("copy")), "copies")
     return counted.select("record", "vector"), copies
 
 
