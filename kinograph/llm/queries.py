@@ -7,15 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinograph.functions.terms import SPACE_CLASS, term_set, term_sql
-from kinograph.functions.vectors import literal_pattern
 from kinograph import session
+from kinograph.functions.terms import term_set
 from kinograph.llm import birch, contamination, cooccur, knn, packing, quality, setjoin, termfreq, topn
 from kinograph.llm.records import one_per_record
 from kinograph.llm.vectors import double_units, unit_vectors
 from kinograph.tables import table
 
 
+# White space and number lists in DuckDB's patterns, written out apart from the library's own.
+SPACE = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+NUMBER = r"-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?"
+LITERAL = rf"{SPACE}*\[\s*{NUMBER}(\s*,\s*{NUMBER}){{63}}\s*\]{SPACE}*"
+
+
+def _term(element: str) -> str:
+    """A term in SQL: lower case, runs of white space one space, trimmed."""
+    return f"lower(trim(regexp_replace({element}, '{SPACE}+', ' ', 'g')))"
+
+
 #: Rows of capacities that the driver holds; more are an error.
 MOST_PROFILES = 1000
 
@@ -111,7 +121,7 @@ def _units_sql(name: str, source: str, column: str) -> str:
     return f"""{name} as (
   select id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) v from (
     select id, max(v) v from (
-      select id, case when regexp_matches({column}, '{literal_pattern(64)}') then cast(regexp_replace({column}, '{SPACE_CLASS}', '', 'g') as double[]) end v from {source} where id is not null)
+      select id, case when regexp_full_match({column}, '{LITERAL}') then cast(regexp_replace({column}, '{SPACE}+', '', 'g') as double[]) end v from {source} where id is not null)
     where v is not null and len(list_filter(v, lambda x: x <> 0)) > 0 group by id))"""
 
 
@@ -128,7 +138,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 P4_SQL = f"""
 with mt as (
-  select distinct id, {term_sql("k")} t from (select id, unnest(keywords) k from movies where id is not null) where k is not null),
+  select distinct id, {_term("k")} t from (select id, unnest(keywords) k from movies where id is not null) where k is not null),
 m as (select t, count(*) c from mt where t <> '' group by t),
 ab as (
   select a.t term_a, b.t term_b, count(*) n_ab from mt a join mt b on a.id = b.id and a.t < b.t
@@ -156,7 +166,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 P5_SQL = f"""
 with mt as (
-  select distinct id, kind, {term_sql("x")} t from (
+  select distinct id, kind, {_term("x")} t from (
     select id, 'k' kind, unnest(keywords) x from movies where id is not null
     union all select id, 'g', unnest(genres) from movies where id is not null) where x is not null),
 t as (select * from mt where t <> ''),
@@ -181,7 +191,7 @@ def p5_classes(spark: SparkSession, folder: str) -> DataFrame:
 
 P5_CLASSES_SQL = f"""
 with mt as (
-  select distinct id, kind, {term_sql("x")} t from (
+  select distinct id, kind, {_term("x")} t from (
     select id, 'k' kind, unnest(keywords) x from movies where id is not null
     union all select id, 'g', unnest(genres) from movies where id is not null) where x is not null),
 t as (select * from mt where t <> ''),
@@ -200,7 +210,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 P6_SQL = f"""
 with mt as (
-  select distinct id, {term_sql("k")} t from (select id, unnest(keywords) k from movies where id is not null) where k is not null),
+  select distinct id, {_term("k")} t from (select id, unnest(keywords) k from movies where id is not null) where k is not null),
 m as (select t term, count(*) c from mt where t <> '' group by t),
 n as (select count(distinct id) n from movies)
 select term, case when 20 * c > n then 'common' else 'rare' end mark from m, n where 20 * c > n or c < 15
