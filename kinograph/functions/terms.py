@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space of Unicode, as a class that Java and RE2 read alike up to the escapes' form.
+#: White space of Unicode, as a class in Java's patterns.
 SPACE_CODES = ("0085", "00a0", "1680", "2000-200a", "2028", "2029", "202f", "205f", "3000")
 SPACE_CLASS = r"[\s\x{0b}\x{1c}-\x{1f}" + "".join("-".join(rf"\x{{{c}}}" for c in code.split("-")) for code in SPACE_CODES) + "]+"
 
 
-
 def term(element: Column) -> Column:
     """Lower case, runs of white space (no-break spaces too) made one space, trimmed; blank stays blank."""
     return F.lower(F.trim(F.regexp_replace(element, SPACE_CLASS, " ")))
@@ -25,8 +24,3 @@ def term_list(elements: Column) -> Column:
 def term_set(elements: Column) -> Column:
     """The distinct terms of an array."""
     return F.array_distinct(term_list(elements))
-
-
-def term_sql(element: str) -> str:
-    """The same term in DuckDB's SQL."""
-    return f"lower(trim(regexp_replace({element}, '{SPACE_CLASS}', ' ', 'g')))"
