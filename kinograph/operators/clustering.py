@@ -159,8 +159,9 @@ _ROUND = pa.schema([("g", pa.string()), ("n", pa.int64()), ("v", pa.list_(pa.flo
 def lloyd(items: DataFrame, vector: str, start: np.ndarray, most_rounds: int = 100, tolerance: float = 0.0) -> tuple[np.ndarray, int]:
     """k-means from given centroids: (centroids, rounds).
 
-    Each round is one pass: a task sums its rows per cluster, so k rows a task
-    are shuffled and k packed rows reach the driver.  A cluster without rows
+    Each round is one pass: a task sums its rows per cluster.  The sums go to
+    the driver where they are BLOCK_CELLS numbers at most, else they are first
+    added up by cluster, so that k rows reach it.  A cluster without rows
     keeps its centroid.  Stops when no row changes its cluster (each row meets
     the centroids of the round before too, so nothing is kept between rounds),
     or when no centroid moves more than ``tolerance``; below 0 neither stops
@@ -168,8 +169,9 @@ def lloyd(items: DataFrame, vector: str, start: np.ndarray, most_rounds: int = 1
     """
     rows = items.select(F.col(vector).alias("v")).where(F.size("v") == start.shape[1])
     centroids, before = start.astype(float), None
+    direct = rows.rdd.getNumPartitions() * start.size <= BLOCK_CELLS
     for r in range(1, most_rounds + 1):
-        sums, counts, changed = _round(rows, centroids, before)
+        sums, counts, changed = _round(rows, centroids, before, direct)
         if before is not None and not changed and tolerance >= 0:
             return centroids, r - 1
         new = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centroids)
@@ -186,7 +188,7 @@ def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.concatenate([(squares - 2 * x[a : a + at_once] @ centroids.T).argmin(1) for a in range(0, len(x), at_once)])
 
 
-def _round(rows: DataFrame, centroids: np.ndarray, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, int]:
+def _round(rows: DataFrame, centroids: np.ndarray, before: np.ndarray | None, direct: bool) -> tuple[np.ndarray, np.ndarray, int]:
     """(sums, counts, rows whose cluster is another than with the centroids ``before``)."""
     k, dim = centroids.shape
 
@@ -205,14 +207,21 @@ def _round(rows: DataFrame, centroids: np.ndarray, before: np.ndarray | None) ->
         names, n, v = [*map(str, used), "changed"], [*counts[used].tolist(), changed], [*sums[used], np.zeros(dim)]
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n, pa.int64()), pa.array(v, pa.list_(pa.float64()))], schema=_ROUND)
 
-    parts = rows.mapInArrow(run, _SUM).repartition(min(k + 1, session.shuffle_partitions(rows.sparkSession)), "g").sortWithinPartitions("g")
-    total = parts.mapInArrow(_add_up, _SUM).toArrow()  # k + 1 rows
+    parts = rows.mapInArrow(run, _SUM)
+    if not direct:
+        width = min(k + 1, session.shuffle_partitions(rows.sparkSession))
+        parts = parts.repartition(width, "g").sortWithinPartitions("g").mapInArrow(_add_up, _SUM)  # k + 1 rows
+    total = parts.toArrow()
     sums, counts, changed = np.zeros((k, dim)), np.zeros(k), 0
-    for g, n, v in zip(*(total[c].to_pylist() for c in ("g", "n")), total["v"]):
-        if g == "changed":
-            changed = n
-        else:
-            sums[int(g)], counts[int(g)] = v.values.to_numpy(), n
+    if total.num_rows:
+        names, n = total["g"].to_pylist(), total["n"].to_numpy()
+        v = total["v"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
+        at = np.array([-1 if g == "changed" else int(g) for g in names])
+        order = np.lexsort((v[:, 0], at))  # the same sums whatever the order in which tasks end
+        at, n, v = at[order], n[order], v[order]
+        changed = int(n[at < 0].sum())
+        np.add.at(sums, at[at >= 0], v[at >= 0])
+        np.add.at(counts, at[at >= 0], n[at >= 0])
     return sums, counts, changed
 
 

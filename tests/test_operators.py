@@ -93,7 +93,9 @@ def test_start_never_repeats_a_row(spark):
     assert len(start) <= 4 and len(np.unique(start, axis=0)) == len(start)
 
 
-def test_lloyd_stops_when_no_row_moves(spark):
+@pytest.mark.parametrize("cells", [4_000_000, 10])
+def test_lloyd_stops_when_no_row_moves(spark, monkeypatch, cells):
+    monkeypatch.setattr(clustering, "BLOCK_CELLS", cells)  # the sums go straight to the driver, or by cluster
     df = blobs(spark)
     start = np.eye(3, 8) * 9
     centroids, rounds = clustering.lloyd(df, "v", start, 50)
