@@ -184,7 +184,7 @@ def _pieces_product(item_block: int, most_cells: int):
 
 
 def cooccurrence(
-    df: DataFrame, record: str, array: str, min_together: int = 5, item_block: int = 4096, block_ones: int = 400_000, long_basket: int = 4096, most_cells: int = 4_000_000
+    df: DataFrame, record: str, array: str, min_together: int = 5, item_block: int = 4096, block_ones: int = 400_000, long_basket: int = 2048, most_cells: int = 4_000_000
 ) -> DataFrame:
     """Pairs of terms in at least ``min_together`` common records.
 
