@@ -125,24 +125,6 @@ def parse(payload: str | None) -> tuple[bool, Any]:
     return payload is not None, value
 
 
-def _nodes(value: Any) -> Iterator[tuple[int, int, str | None, int | None, str, str | None]]:
-    """(node, parent, label, ordinal, kind, scalar) in preorder of a stack, root first with parent -1."""
-    stack: list[tuple[Any, int, str | None, int | None]] = [(value, -1, None, None)]
-    node = 0
-    while stack:
-        v, parent, label, ordinal = stack.pop()
-        if isinstance(v, dict):
-            yield node, parent, label, ordinal, OBJECT, None
-            stack.extend((x, node, k, None) for k, x in v.items())
-        elif isinstance(v, list):
-            yield node, parent, label, ordinal, ARRAY, None
-            stack.extend((x, node, None, i) for i, x in enumerate(v))
-        else:
-            kind = _KINDS[type(v)]
-            yield node, parent, label, ordinal, kind, None if v is None else v if isinstance(v, str) else json.dumps(v)
-        node += 1
-
-
 def _clean(text: str | None) -> str | None:
     """``text`` without lone surrogates, which JSON escapes can make and UTF-8 cannot hold."""
     if text is None or text.isascii():
@@ -166,24 +148,53 @@ def shred(df: DataFrame, record: str, payload: str, scalars: Sequence[str] | Non
     wanted = None if scalars is None else frozenset(scalars)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
+        columns: list[list] = [[] for _ in _ARROW]
+        records, nodes, parents, labels, ordinals, kinds, scalars_ = columns
+        names: dict[str | None, str | None] = {}
 
         def flush() -> pa.RecordBatch:
-            columns = list(zip(*out))
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+            for c in columns:
+                c.clear()
+            return out
+
+        def clean_label(label: str | None) -> str | None:
+            if label not in names:
+                if len(names) > 10_000:
+                    names.clear()
+                names[label] = _clean(label)
+            return names[label]
 
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 valid, value = parse(text)
                 if not valid:
                     continue
-                for node, parent, label, ordinal, kind, scalar in _nodes(value):
-                    if wanted is None or label is None or label in wanted or kind in (OBJECT, ARRAY):
-                        out.append((key, node, parent, _clean(label), ordinal, kind, _clean(scalar)))
-                if len(out) >= 50_000:
+                node = 0
+                stack: list[tuple[Any, int, str | None, int | None]] = [(value, -1, None, None)]
+                while stack:
+                    v, parent, label, ordinal = stack.pop()
+                    kind = type(v)
+                    if kind is dict:
+                        name, scalar = OBJECT, None
+                        # scalars under labels that nobody asked for get no node; links between the others hold without them
+                        stack.extend((x, node, k, None) for k, x in v.items() if wanted is None or k in wanted or type(x) is dict or type(x) is list)
+                    elif kind is list:
+                        name, scalar = ARRAY, None
+                        stack.extend((x, node, None, i) for i, x in enumerate(v))
+                    else:
+                        name, scalar = _KINDS[kind], None if v is None else _clean(v) if isinstance(v, str) else json.dumps(v)
+                    records.append(key)
+                    nodes.append(node)
+                    parents.append(parent)
+                    labels.append(clean_label(label))
+                    ordinals.append(ordinal)
+                    kinds.append(name)
+                    scalars_.append(scalar)
+                    node += 1
+                if len(records) >= 50_000:
                     yield flush()
-        if out:
+        if records:
             yield flush()
 
     return df.select(F.col(f"`{record}`").cast("bigint").alias("record"), F.col(f"`{payload}`").alias("payload")).mapInArrow(run, NODE_SCHEMA)
